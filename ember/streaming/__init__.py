@@ -22,6 +22,8 @@ from ember.schemas import MESSAGE, PACKET_CONSUMER
 DEFAULT_TRIGGER = "5 seconds"
 DEFAULT_MAX_PER_TRIGGER = 20
 DEFAULT_STARTING_OFFSETS = "latest"
+# Row statuses that count as processed (frame operators set these).
+OK_STATUSES = ("ok", "segmented", "chroma_key")
 
 
 def kafka_source(
@@ -108,7 +110,7 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
             good.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
             keys = [c for c in count_by if c in good.columns]
-            ok = F.col("status") == "ok" if "status" in good.columns else F.lit(True)
+            ok = F.col("status").isin(*OK_STATUSES) if "status" in good.columns else F.lit(True)
             (good.groupBy(*keys).agg(F.count_if(ok).alias("processed"))
              .write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}"))
             good.unpersist()
