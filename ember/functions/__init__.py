@@ -139,18 +139,43 @@ def b64decode(text: Column | str) -> Column:
     return F.unbase64(_c(text))
 
 
-def is_valid_base64(text: Column | str) -> Column:
-    """Validity as a lenient decoder sees it.
+_B64_ALPHABET = "A-Za-z0-9+/"
+_B64_SIMPLE = f"^[{_B64_ALPHABET}]*=*$"
+
 
-    Characters outside the alphabet are discarded; what is left must be a
-    whole number of 4-character groups that decodes.
+def is_valid_base64(text: Column | str) -> Column:
+    """True when a lenient base64 decoder (Python's default) accepts the text.
+
+    Characters outside the alphabet are skipped.  Decoding ends at the first
+    ``=`` that completes a 4-character group (later text is ignored); a ``=``
+    before the second character of a group is skipped; otherwise the data
+    must end on a group boundary.  The common shape -- data, then trailing
+    ``=`` -- is decided from two lengths; any other text runs the decoder's
+    state machine over its characters with ``aggregate`` (JVM-side).
     """
-    cleaned = F.regexp_replace(_c(text), "[^A-Za-z0-9+/=]", "")
-    return (
-        _c(text).isNotNull()
-        & (F.length(cleaned) % 4 == 0)
-        & F.try_to_binary(cleaned, F.lit("base64")).isNotNull()
-    )
+    raw = _c(text)
+    clean = F.when(raw.rlike(_B64_SIMPLE), raw).otherwise(
+        F.regexp_replace(raw, f"[^{_B64_ALPHABET}=]", ""))
+    n_data = F.length(F.translate(clean, "=", ""))
+    n_pad = F.length(clean) - n_data
+    rem = n_data % 4
+    simple_ok = (rem == 0) | ((rem == 2) & (n_pad >= 2)) | ((rem == 3) & (n_pad >= 1))
+
+    init = F.struct(F.lit(0).alias("q"), F.lit(0).alias("p"), F.lit(False).alias("done"))
+
+    def step(acc, ch):
+        q, p, done = acc["q"], acc["p"], acc["done"]
+        pad = ch == "="
+        counts = pad & (q >= 2)
+        completes = counts & (q + p + 1 >= 4)
+        return F.struct(
+            F.when(done | pad, q).otherwise((q + 1) % 4).alias("q"),
+            F.when(done, p).when(counts, p + 1).when(pad, p).otherwise(0).alias("p"),
+            (done | completes).alias("done"),
+        )
+
+    machine = F.aggregate(F.split(clean, ""), init, step, lambda a: a["done"] | (a["q"] == 0))
+    return F.when(raw.isNull(), F.lit(False)).when(clean.rlike(_B64_SIMPLE), simple_ok).otherwise(machine)
 
 
 def octets(text: Column | str) -> Column:

@@ -19,6 +19,7 @@ MSG_NOT_FOUND = "File not found"
 MSG_UNREADABLE = "Failed to read image"
 
 _INTEGER_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
+_NUMERIC_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))$"
 
 
 def packet_message(value: Column) -> Column:
@@ -31,12 +32,16 @@ def packet_message(value: Column) -> Column:
     v = F.try_parse_json(value)
     keys = F.json_object_keys(value)
 
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+
     def num(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "double")
+        """The field as a number; NULL for text, objects, booleans or null."""
+        return F.when(kind(name).rlike(_NUMERIC_VARIANT), F.try_variant_get(v, f"$.{name}", "double"))
 
-    ts_type = F.schema_of_variant(F.try_variant_get(v, "$.timestamp_ms", "variant"))
+    ts_type = kind("timestamp_ms")
     quality, width, height = num("quality"), num("width"), num("height")
-    frame_data = F.try_variant_get(v, "$.frame_data", "string")
+    frame_data = F.when(kind("frame_data") == "STRING", F.try_variant_get(v, "$.frame_data", "string"))
 
     expr = F.when(v.isNull() | keys.isNull(), F.lit(MSG_MISSING + REQUIRED_PACKET_FIELDS[0]))
     for name in REQUIRED_PACKET_FIELDS:
