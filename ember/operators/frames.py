@@ -131,6 +131,9 @@ def _frame(data: bytes, h: int, w: int, c: int) -> np.ndarray | None:
 
 def _map_frames(df: DataFrame, keys: Sequence[str], out_schema: str,
                 per_partition: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> DataFrame:
+    from ember.session import ship_package
+
+    ship_package(df.sparkSession)
     keys_ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{keys_ddl}, {out_schema}" if keys_ddl else out_schema
     return df.mapInPandas(per_partition, schema)

@@ -230,6 +230,13 @@ def frame_dedup_last(spark, d):
 MISSING_CAMERA_EVERY, BAD_QUALITY_EVERY, ZERO_WIDTH_EVERY, BAD_BASE64_EVERY = 11, 13, 17, 19
 
 
+def _dangling(b64):
+    """Corrupt a base64 text: padding removed, data padded with 'A' to one
+    character more than a multiple of four, which no decoder accepts."""
+    data = F.rtrim(b64, F.lit("="))
+    return F.concat(data, F.repeat(F.lit("A"), (F.lit(5) - F.length(data) % 4) % 4))
+
+
 def validity_packets(spark, d):
     """One JSON packet per document, the document text as the payload, with
     faults injected by document id."""
@@ -244,7 +251,7 @@ def validity_packets(spark, d):
         F.when(k % ZERO_WIDTH_EVERY == 0, 0).otherwise(640).alias("width"),
         F.lit(480).alias("height"),
         F.lit("JPEG").alias("encoding"),
-        F.when(k % BAD_BASE64_EVERY == 0, F.concat(payload, F.lit("A"))).otherwise(payload).alias("frame_data"),
+        F.when(k % BAD_BASE64_EVERY == 0, _dangling(payload)).otherwise(payload).alias("frame_data"),
         F.when(k % BAD_QUALITY_EVERY == 0, 101).otherwise(85).alias("quality"),
     )
     return pk.select("doc_id", F.to_json(P.packet_struct(pk)).alias("value"))

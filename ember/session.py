@@ -76,3 +76,33 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="ember-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ember`` importable in Python workers (the ``--py-files`` way).
+
+    Operators that run Python on executors (``mapInPandas``) pickle functions
+    of this package by reference, so workers must be able to import it.  The
+    package is zipped once per application and added with ``addPyFile``;
+    Spark then serves it to every executor, including ones started later.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="ember-pyfiles-"), "ember.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

@@ -1,0 +1,109 @@
+"""Streaming: batch = stream, resume on a checkpoint, dead letters, idempotent replay, C13 end to end."""
+
+import base64
+import json
+import os
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ember import streaming as S
+from ember.plans import streams as ST
+from ember.streaming import frames as SF
+from tests.conftest import SMALL
+
+
+def rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_stream_equals_batch_decode(spark, tmp_dir):
+    msgs = ST.event_messages(spark, SMALL)
+    ST.stage(msgs, f"{tmp_dir}/staged")
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    streamed = spark.read.parquet(f"{tmp_dir}/out")
+    batch = ST._process(S.decode_stream(msgs, ST.EVENT_MESSAGE))
+    cols = ["event_id", "camera_id", "k", "partition"]
+    assert rows(streamed, cols) == rows(batch, cols)
+    # one staged file per trigger -> one batch per source partition
+    batches = spark.read.parquet(f"{tmp_dir}/counts")
+    assert batches.select("batch_id").distinct().count() == ST.STAGE_PARTITIONS
+    per_part = {r["partition"]: r["processed"] for r in batches.collect()}
+    want = {r[0]: r[1] for r in msgs.groupBy("partition").count().collect()}
+    assert per_part == want
+
+
+def test_resume_processes_only_new_files(spark, tmp_dir):  # W5
+    msgs = ST.event_messages(spark, SMALL)
+    ST.stage(msgs, f"{tmp_dir}/staged", [0, 1])
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    first = spark.read.parquet(f"{tmp_dir}/out").count()
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)       # nothing new: no new batch
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == first
+    ST.stage(msgs, f"{tmp_dir}/staged", [2, 3, 4])
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.count() == msgs.count()
+    assert out.select("event_id").distinct().count() == msgs.count()
+
+
+def test_dead_letters_do_not_fail_the_batch(spark, tmp_dir):  # T18, T19
+    staged = f"{tmp_dir}/staged/partition=0"
+    os.makedirs(staged)
+    good = {"event_id": 1, "camera_id": "cam", "props": json.dumps({"k": 5})}
+    with open(f"{staged}/part-0.json", "w") as f:
+        f.write(json.dumps({"key": "cam", "value": json.dumps(good)}) + "\n")
+        f.write(json.dumps({"key": "cam", "value": "{broken"}) + "\n")
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").select("event_id", "k").collect()] == [(1, 5)]
+    assert [r[0] for r in spark.read.parquet(f"{tmp_dir}/dead").select("_corrupt").collect()] == ["{broken"]
+
+
+def test_batch_writer_is_idempotent(spark, tmp_dir):  # W9, K5
+    msgs = ST.event_messages(spark, SMALL).where(F.col("partition") == 0)
+    decoded = S.decode_stream(msgs, ST.EVENT_MESSAGE)
+    write = S.ingest_writer(f"{tmp_dir}/out", f"{tmp_dir}/dead", f"{tmp_dir}/counts", ST._process)
+    write(decoded, 7)
+    write(decoded, 7)          # replay of the same batch
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == msgs.count()
+    write(decoded.limit(0), 8)  # empty batch: nothing written (F5)
+    assert not os.path.exists(f"{tmp_dir}/out/batch_id=8")
+
+
+def green_packet(camera, n, side=24):
+    frame = np.zeros((side, side, 3), dtype=np.uint8)
+    frame[..., 1] = 255
+    frame[6:18, 6:18] = 255
+    return {"camera_id": camera, "timestamp_ms": 1000 + n, "frame_number": n, "width": side, "height": side,
+            "encoding": "RAW", "frame_data": base64.b64encode(frame.tobytes()).decode(), "quality": 85}
+
+
+def test_frame_stream_end_to_end(spark, tmp_dir):  # C13
+    staged = f"{tmp_dir}/staged/partition=0"
+    os.makedirs(staged)
+    with open(f"{staged}/part-0.json", "w") as f:
+        for n in range(3):
+            f.write(json.dumps({"key": "camA", "value": json.dumps(green_packet("camA", n))}) + "\n")
+        bad = dict(green_packet("camA", 99), frame_data=base64.b64encode(b"\xff\xd8jpeg?").decode())
+        f.write(json.dumps({"key": "camA", "value": json.dumps(bad)}) + "\n")
+    msgs = S.file_message_source(spark, f"{tmp_dir}/staged", max_files_per_trigger=1)
+    q = SF.run_frame_stream(spark, msgs, tmp_dir, available_now=True)
+    q.awaitTermination()
+    out = {r["frame_number"]: r for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert out[99]["status"] == "undecodable"                 # T20: kept and flagged, not lost
+    assert out[1]["filename"] == "camA_000001.png" and out[1]["nChannels"] == 4
+    alpha = np.frombuffer(out[1]["data"], dtype=np.uint8).reshape(24, 24, 4)[..., 3]
+    assert alpha[0, 0] == 0 and alpha[12, 12] == 255
+    counts = spark.read.parquet(f"{tmp_dir}/counts").collect()
+    assert sum(r["processed"] for r in counts) == 3           # A18: successes only
+
+
+def test_registered_stream_queries(spark):
+    ingest = ST.stream_ingest(spark, SMALL)
+    resume = ST.stream_resume(spark, SMALL)
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    want = sorted((r[0], r[1]) for r in ev.select("event_id", "event_type").collect())
+    assert sorted((r[0], r[1]) for r in ingest.select("event_id", "camera_id").collect()) == want
+    assert sorted((r[0], r[1]) for r in resume.select("event_id", "camera_id").collect()) == want
+    counts = {r["part"]: r["processed"] for r in ST.stream_batch_counts(spark, SMALL).collect()}
+    assert counts == {r[0]: r[1] for r in ev.groupBy(F.col("event_id") % 5).count().collect()}
