@@ -127,7 +127,7 @@ def frame_filename(camera_id: Column | str, frame_number: Column | str) -> Colum
 
 def b64encode(data: Column | str) -> Column:
     """Standard base64 text without line breaks (whatever the chunk setting)."""
-    return F.translate(F.base64(_c(data)), "\r\n", "")
+    return F.replace(F.base64(_c(data)), F.lit("\r\n"), F.lit(""))
 
 
 def b64encode_text(text: Column | str) -> Column:
@@ -140,7 +140,7 @@ def b64decode(text: Column | str) -> Column:
 
 
 _B64_ALPHABET = "A-Za-z0-9+/"
-_B64_SIMPLE = f"^[{_B64_ALPHABET}]*=*$"
+_B64_SIMPLE = f"^[{_B64_ALPHABET}]*=*\\z"
 
 
 def is_valid_base64(text: Column | str) -> Column:
@@ -149,9 +149,10 @@ def is_valid_base64(text: Column | str) -> Column:
     Characters outside the alphabet are skipped.  Decoding ends at the first
     ``=`` that completes a 4-character group (later text is ignored); a ``=``
     before the second character of a group is skipped; otherwise the data
-    must end on a group boundary.  The common shape -- data, then trailing
-    ``=`` -- is decided from two lengths; any other text runs the decoder's
-    state machine over its characters with ``aggregate`` (JVM-side).
+    must end on a group boundary.  Canonical text is accepted by a JVM
+    decode/encode round trip; the shape "data, then trailing ``=``" is decided from two
+    lengths; any other text runs the decoder's state machine over its
+    characters with ``aggregate`` (JVM-side).
     """
     raw = _c(text)
     clean = F.when(raw.rlike(_B64_SIMPLE), raw).otherwise(
@@ -175,7 +176,11 @@ def is_valid_base64(text: Column | str) -> Column:
         )
 
     machine = F.aggregate(F.split(clean, ""), init, step, lambda a: a["done"] | (a["q"] == 0))
-    return F.when(raw.isNull(), F.lit(False)).when(clean.rlike(_B64_SIMPLE), simple_ok).otherwise(machine)
+    # Canonical base64 (the normal case) re-encodes to itself: settled by one
+    # decode and one encode in the JVM; only other text pays for the regex.
+    strict = b64encode(F.try_to_binary(raw, F.lit("base64"))) == raw
+    return (F.when(raw.isNull(), F.lit(False)).when(strict, F.lit(True))
+            .when(clean.rlike(_B64_SIMPLE), simple_ok).otherwise(machine))
 
 
 def octets(text: Column | str) -> Column:

@@ -63,7 +63,9 @@ def test_base64_validity_matches_lenient_decoder(spark):  # T23
 
     cases = ["aGVsbG8=", "aGVsbG8", "abc", "aGVs\nbG8=", "aGVs*bG8=", "", "aGVsbG8==", "ab=c",
              "aGVsbG8=aGVs", "a===", "ab==cd==", "aGVsbG8=x", "=aGVs", "a=GVs", "ab=cd", "abc=d",
-             "ab c=", "====", "abcd====", "YQ", "YQ=", "YQ==", "Y", "Zm9v\r\nYmFy"]
+             "ab c=", "====", "abcd====", "YQ", "YQ=", "YQ==", "Y", "Zm9v\r\nYmFy",
+             "aGV*bG8=", "aGVzbG8*", "aGV=bG8=", "a*bc", "ab*=", "abc\n", "Zm9vYmFy", "Zm9vYg==", "Zm9vYmE=",
+             "Zm9v YmFy", "Zm9=", "Zg=="]
 
     def lenient(s):
         try:
