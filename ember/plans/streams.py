@@ -55,8 +55,8 @@ def _process(decoded: DataFrame) -> DataFrame:
         .withColumn("status", F.lit("ok"))
 
 
-def _run(spark: SparkSession, staged: str, root: str) -> None:
-    msgs = S.file_message_source(spark, staged, max_files_per_trigger=1)
+def _run(spark: SparkSession, staged: str, root: str, max_files: int | None = None) -> None:
+    msgs = S.file_message_source(spark, staged, max_files_per_trigger=max_files)
     decoded = S.decode_stream(msgs, EVENT_MESSAGE, keep=("partition",))
     writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", _process)
     q = S.run_stream(decoded, writer, f"{root}/checkpoint", available_now=True)
@@ -65,19 +65,19 @@ def _run(spark: SparkSession, staged: str, root: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def _ingest(spark: SparkSession, sf_dir: str, resume: bool) -> str:
+def _ingest(spark: SparkSession, sf_dir: str, resume: bool, max_files: int | None = None) -> str:
     root = shared_dir(spark, "stream")
     staged = f"{root}/staged"
     msgs = event_messages(spark, sf_dir)
     if resume:
         first = list(range(STAGE_PARTITIONS // 2 + 1))
         stage(msgs, staged, first)
-        _run(spark, staged, root)
+        _run(spark, staged, root, max_files)
         stage(msgs, staged, [p for p in range(STAGE_PARTITIONS) if p not in first])
-        _run(spark, staged, root)
+        _run(spark, staged, root, max_files)
     else:
         stage(msgs, staged)
-        _run(spark, staged, root)
+        _run(spark, staged, root, max_files)
     return root
 
 
@@ -94,7 +94,9 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _ingest(spark, sf_dir, resume=False)
+    # One staged file per trigger (the rate cap): one micro-batch per source
+    # partition, each recording its own processed count.
+    root = _ingest(spark, sf_dir, resume=False, max_files=1)
     counts = spark.read.parquet(f"{root}/counts")
     return counts.groupBy(F.col("partition").cast("bigint").alias("part")).agg(
         F.sum("processed").alias("processed"))

@@ -20,7 +20,7 @@ def rows(df, cols):
 def test_stream_equals_batch_decode(spark, tmp_dir):
     msgs = ST.event_messages(spark, SMALL)
     ST.stage(msgs, f"{tmp_dir}/staged")
-    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    ST._run(spark, f"{tmp_dir}/staged", tmp_dir, max_files=1)
     streamed = spark.read.parquet(f"{tmp_dir}/out")
     batch = ST._process(S.decode_stream(msgs, ST.EVENT_MESSAGE))
     cols = ["event_id", "camera_id", "k", "partition"]
