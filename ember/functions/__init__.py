@@ -95,6 +95,16 @@ def epoch_millis(ts: Column | str, ntz: bool = True) -> Column:
     return F.unix_millis(_c(ts))
 
 
+def now_millis() -> Column:
+    """The query's current time as epoch milliseconds (one value per query)."""
+    return F.unix_millis(F.current_timestamp())
+
+
+def iso_time(ts: Column | str | None = None) -> Column:
+    """ISO-8601 local time text with microseconds (``now`` by default)."""
+    return F.date_format(F.current_timestamp() if ts is None else _c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def parse_timestamp(text: Column | str, fmt: str | None = None) -> Column:
     """Text -> timestamp; unparsable text gives NULL instead of failing."""
     if fmt is None:

@@ -112,6 +112,13 @@ def chroma_key(bgr: np.ndarray, lower=GREEN_LOWER, upper=GREEN_UPPER) -> np.ndar
     return np.dstack([bgr.astype(np.uint8), alpha])
 
 
+def bgr_to_rgb(frame: np.ndarray) -> np.ndarray:
+    """Swap the first and third channel (BGR <-> RGB; alpha kept)."""
+    out = frame.copy()
+    out[..., [0, 2]] = frame[..., [2, 0]]
+    return out
+
+
 def alpha_from_scores(scores: np.ndarray, threshold: float = SEGMENT_THRESHOLD) -> np.ndarray:
     """Segmenter scores -> alpha: above the threshold is transparent (0)."""
     return np.where(scores > threshold, 0, 255).astype(np.uint8)
@@ -238,7 +245,7 @@ def segment_frames(
                     try:
                         if seg is None:
                             raise RuntimeError("no segmenter")
-                        scores = np.asarray(seg(bgr[..., ::-1]), dtype=np.float64).reshape(h, w)
+                        scores = np.asarray(seg(bgr_to_rgb(bgr)), dtype=np.float64).reshape(h, w)
                         bgra = np.dstack([bgr, alpha_from_scores(scores, threshold)])
                         status.append("segmented")
                     except Exception:  # noqa: BLE001 -- per-frame fall-back

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ember.functions import b64encode, frame_filename
+from ember.functions import b64encode, frame_filename, iso_time, now_millis
 from ember.schemas import PACKET_CONSUMER, PACKET_FULL
 
 PACKET_ORDER = [f.name for f in PACKET_FULL.fields]
@@ -67,3 +67,43 @@ def with_filename(df: DataFrame, camera_col: str = "camera_id", frame_col: str =
                   out: str = "filename") -> DataFrame:
     """Output file name per frame."""
     return df.withColumn(out, frame_filename(camera_col, frame_col))
+
+
+# Fixed values of the producer's packet.
+PACKET_SOURCE = "camera_simulation"
+DEFAULT_QUALITY = 85
+
+
+def frames_to_packets(frames: DataFrame, *, encoding: str = "RAW", quality: int = DEFAULT_QUALITY,
+                      source: str = PACKET_SOURCE, ts_col: str | None = None) -> DataFrame:
+    """C14: frame rows -> keyed packet messages (key = camera id, value = JSON).
+
+    ``frames`` carries camera_id, frame_number, height, width and the pixel
+    bytes ``data``; the bytes travel as base64 text.  ``timestamp_ms`` comes
+    from ``ts_col`` when given, else from the query's current time (X19);
+    ``metadata.created_at`` is ISO text (X20).  No image codec is available to
+    Spark, so ``encoding`` names the payload format (raw BGR by default).
+    """
+    ts = F.col(ts_col) if ts_col else now_millis()
+    pk = frames.select(
+        "camera_id",
+        ts.alias("timestamp_ms"),
+        F.col("frame_number").cast("int").alias("frame_number"),
+        F.col("width").cast("int").alias("width"),
+        F.col("height").cast("int").alias("height"),
+        F.lit(encoding).alias("encoding"),
+        b64encode("data").alias("frame_data"),
+        F.lit(quality).alias("quality"),
+        F.struct(F.lit(source).alias("source"), iso_time().alias("created_at")).alias("metadata"),
+    )
+    return encode_packets(pk, "camera_id")
+
+
+def in_camera_order(df: DataFrame, camera_col: str = "camera_id", frame_col: str = "frame_number") -> DataFrame:
+    """Each camera's frames in one partition, in frame order.
+
+    The message key keeps a camera in one Kafka partition; in Spark the same
+    guarantee is a hash partitioning on the camera plus a sort inside each
+    partition (no global sort, no single task for all cameras).
+    """
+    return df.repartition(F.col(camera_col)).sortWithinPartitions(camera_col, frame_col)

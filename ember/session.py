@@ -22,7 +22,7 @@ DEFAULT_CONF: dict[str, str] = {
     # Spark 4.1 wraps base64 output every 76 characters unless told not to.
     "spark.sql.chunkBase64String.enabled": "false",
     # A 640x480 BGR frame is ~0.9 MB: keep Arrow batches of frames bounded.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Worker-side numpy must not oversubscribe executor cores.

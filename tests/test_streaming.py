@@ -107,3 +107,17 @@ def test_registered_stream_queries(spark):
     assert sorted((r[0], r[1]) for r in resume.select("event_id", "camera_id").collect()) == want
     counts = {r["part"]: r["processed"] for r in ST.stream_batch_counts(spark, SMALL).collect()}
     assert counts == {r[0]: r[1] for r in ev.groupBy(F.col("event_id") % 5).count().collect()}
+
+
+def test_write_frames_keyed_and_deduplicated(spark, tmp_dir):  # K6, W8, W9
+    from ember.sinks import write_frames
+
+    rows = [("camA", 1, 100, b"old"), ("camA", 1, 200, b"new"), ("camA", 2, 100, b"x"), ("camB", 1, 100, b"y")]
+    df = spark.createDataFrame(rows, "camera_id string, frame_number int, timestamp_ms bigint, data binary")
+    write_frames(df, f"{tmp_dir}/frames")
+    out = spark.read.parquet(f"{tmp_dir}/frames")
+    got = {(r["camera_id"], r["filename"]): bytes(r["data"]) for r in out.collect()}
+    assert got == {("camA", "camA_000001.png"): b"new", ("camA", "camA_000002.png"): b"x",
+                   ("camB", "camB_000001.png"): b"y"}
+    dirs = sorted(d for d in os.listdir(f"{tmp_dir}/frames") if d.startswith("camera_id="))
+    assert dirs == ["camera_id=camA", "camera_id=camB"]
