@@ -134,10 +134,11 @@ def with_age_group(users: DataFrame, age_col: str = "age", out: str = "age_group
 def attr_list(ratings: DataFrame, users: DataFrame, attr: str, out: str) -> DataFrame:
     """The distinct attribute values seen per movie, as sorted text.
 
-    ``collect_set`` after a per-(movie, attr) reduction holds at most the
-    number of distinct attribute values per group, never the raw ratings.
+    ``collect_set`` is aggregated map-side first, so a partial state holds at
+    most the number of distinct attribute values, never the raw ratings, and
+    one shuffle suffices.
     """
-    pairs = with_user_attr(ratings, users, attr).select("movie_id", attr).distinct()
+    pairs = with_user_attr(ratings, users, attr).select("movie_id", attr)
     return pairs.groupBy("movie_id").agg(
         F.array_join(F.array_sort(F.collect_set(attr)), ",").alias(out))
 
