@@ -28,8 +28,19 @@ DIRTY_REVIEW_EVERY = 10
 SECOND_REVIEW_EVERY = 7
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One read per (session, table): the file listing and footer read are
+    done once, and every query derives its plan from the same relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
