@@ -22,15 +22,9 @@ _INTEGER_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
 _NUMERIC_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))$"
 
 
-def packet_message(value: Column) -> Column:
-    """V1 on JSON text: the first failing rule's message, else ``Valid packet``.
-
-    "Missing" is decided on the JSON keys (a field present with a NULL value is
-    not missing, it fails the rule that reads it).  The rest reads the parsed
-    value as a variant, so an integer is told apart from "123" or 1.5.
-    """
+def _packet_fields(value: Column) -> list[Column]:
+    """Stage 1 of V1: parse once; the keys and the typed fields the rules read."""
     v = F.try_parse_json(value)
-    keys = F.json_object_keys(value)
 
     def kind(name: str) -> Column:
         return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
@@ -39,26 +33,46 @@ def packet_message(value: Column) -> Column:
         """The field as a number; NULL for text, objects, booleans or null."""
         return F.when(kind(name).rlike(_NUMERIC_VARIANT), F.try_variant_get(v, f"$.{name}", "double"))
 
-    ts_type = kind("timestamp_ms")
-    quality, width, height = num("quality"), num("width"), num("height")
-    frame_data = F.when(kind("frame_data") == "STRING", F.try_variant_get(v, "$.frame_data", "string"))
-
-    expr = F.when(v.isNull() | keys.isNull(), F.lit(MSG_MISSING + REQUIRED_PACKET_FIELDS[0]))
+    return [
+        v.isNotNull().alias("_parsed"),
+        F.json_object_keys(value).alias("_keys"),
+        kind("timestamp_ms").alias("_ts_kind"),
+        num("quality").alias("_quality"),
+        num("width").alias("_width"),
+        num("height").alias("_height"),
+        F.when(kind("frame_data") == "STRING", F.try_variant_get(v, "$.frame_data", "string")).alias("_frame"),
+    ]
+
+
+def _packet_rule_message() -> Column:
+    """Stage 2 of V1: the first failing rule's message over the stage-1 columns."""
+    keys = F.col("_keys")
+    expr = F.when(~F.col("_parsed") | keys.isNull(), F.lit(MSG_MISSING + REQUIRED_PACKET_FIELDS[0]))
     for name in REQUIRED_PACKET_FIELDS:
         expr = expr.when(~F.array_contains(keys, name), F.lit(MSG_MISSING + name))
     return (
-        expr.when(~F.coalesce(ts_type.rlike(_INTEGER_VARIANT), F.lit(False)), MSG_TIMESTAMP)
-        .when(~F.coalesce(quality.between(0, 100), F.lit(False)), MSG_QUALITY)
-        .when(~F.coalesce((width > 0) & (height > 0), F.lit(False)), MSG_DIMENSIONS)
-        .when(~F.coalesce(is_valid_base64(frame_data), F.lit(False)), MSG_BASE64)
+        expr.when(~F.coalesce(F.col("_ts_kind").rlike(_INTEGER_VARIANT), F.lit(False)), MSG_TIMESTAMP)
+        .when(~F.coalesce(F.col("_quality").between(0, 100), F.lit(False)), MSG_QUALITY)
+        .when(~F.coalesce((F.col("_width") > 0) & (F.col("_height") > 0), F.lit(False)), MSG_DIMENSIONS)
+        .when(~F.coalesce(is_valid_base64("_frame"), F.lit(False)), MSG_BASE64)
         .otherwise(MSG_VALID)
     )
 
 
 def validate_packets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with ``is_valid`` and ``message`` per packet JSON."""
-    msg = packet_message(F.col(value_col))
-    return df.select(*keep, msg.alias("message")).withColumn("is_valid", F.col("message") == MSG_VALID)
+    """V1 on JSON text: ``message`` (first failing rule, else ``Valid packet``)
+    and ``is_valid`` per packet.
+
+    Rules in order: the 8 required fields (missing is decided on the JSON keys:
+    a field present with a NULL value fails the rule that reads it), an
+    integer ``timestamp_ms`` (told apart from "123" or 1.5 by the variant
+    type), quality 0-100, positive width and height, and base64 text a lenient
+    decoder accepts.  The JSON is parsed once, in its own projection, so the
+    rules read columns rather than re-parsing inside each branch.
+    """
+    fields = df.select(*keep, *_packet_fields(F.col(value_col)))
+    return fields.select(*keep, _packet_rule_message().alias("message")).withColumn(
+        "is_valid", F.col("message") == MSG_VALID)
 
 
 def validate_images(images: DataFrame, width: int | None = None, height: int | None = None,
