@@ -384,5 +384,6 @@ QUERIES: dict[str, Query] = {
     "mask_erode": mask_erode,
     "chroma_mask": chroma_mask,
     "chroma_key_frames": chroma_key_frames,
+    "frame_stream": ST.frame_stream,
     "segment_frames": segment_frames,
 }

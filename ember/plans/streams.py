@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ember.operators.packets import decode_packets
+from ember.operators.packets import decode_packets, frames_to_packets
 from ember.session import shared_dir
 from ember.sources import testdata as TD
 from ember import streaming as S
+from ember.streaming import frames as SF
 
 # Source partitions of the staged topic; a message goes to event_id % N.
 STAGE_PARTITIONS = 5
@@ -100,3 +101,30 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = spark.read.parquet(f"{root}/counts")
     return counts.groupBy(F.col("partition").cast("bigint").alias("part")).agg(
         F.sum("processed").alias("processed"))
+
+
+# Side of the synthetic frames streamed by ``frame_stream``.
+FRAME_SIDE = 32
+
+
+def frame_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One packet message per embedding-derived frame, keyed by camera (label)."""
+    frames = TD.synthetic_bgr_frames(spark, sf_dir, FRAME_SIDE, with_camera=True).withColumnRenamed(
+        "frame_id", "frame_number")
+    # As a keyed producer does: the partition is a hash of the key, so one
+    # camera's frames stay in one partition, in order.
+    return frames_to_packets(frames).withColumn(
+        "partition", F.pmod(F.hash("key"), F.lit(STAGE_PARTITIONS)).cast("int"))
+
+
+def frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets -> stream -> chroma key -> keyed BGRA frames; one row per
+    frame written (key, file name, status)."""
+    root = shared_dir(spark, "frames")
+    stage(frame_messages(spark, sf_dir), f"{root}/staged")
+    msgs = S.file_message_source(spark, f"{root}/staged")
+    q = SF.run_frame_stream(spark, msgs, root, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/out").select("camera_id", "frame_number", "filename", "status")

@@ -147,24 +147,39 @@ def category_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8) -> DataFrame:
+def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_camera: bool = False) -> DataFrame:
     """A deterministic ``side`` x ``side`` BGR frame per embedding id.
 
     Pixel i of frame f: B = (7f + 13i) % 256, G = (31f + 29i) % 256,
-    R = (17f + 5i) % 256, interleaved B, G, R row by row.
+    R = (17f + 5i) % 256, interleaved B, G, R row by row.  With
+    ``with_camera`` the embedding's label names the camera (``cam<label>``).
+    The bytes are made per Arrow batch with numpy (``mapInPandas``).
     """
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("frame_id"))
-    f = F.col("frame_id")
-    idx = F.sequence(F.lit(0), F.lit(side * side - 1))
-    bgr = F.flatten(F.transform(idx, lambda i: F.array(
-        (f * 7 + i * 13) % 256, (f * 31 + i * 29) % 256, (f * 17 + i * 5) % 256)))
-    return e.select(
-        "frame_id",
-        F.lit(side).alias("height"),
-        F.lit(side).alias("width"),
-        F.lit(3).alias("nChannels"),
-        ints_to_binary(bgr).alias("data"),
-    )
+    from ember.session import ship_package
+
+    e = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("frame_id"),
+        *([F.concat(F.lit("cam"), F.col("label").cast("string")).alias("camera_id")] if with_camera else []))
+    keys = list(e.columns)
+    n = side * side
+
+    def make(batches):
+        import numpy as np
+
+        i = np.arange(n, dtype=np.int64)
+        for pdf in batches:
+            data = []
+            for f in pdf["frame_id"].to_numpy(dtype=np.int64):
+                px = np.stack([(f * 7 + i * 13) % 256, (f * 31 + i * 29) % 256, (f * 17 + i * 5) % 256], axis=1)
+                data.append(px.astype(np.uint8).tobytes())
+            out = pdf[keys].copy()
+            out["height"], out["width"], out["nChannels"] = side, side, 3
+            out["data"] = data
+            yield out
+
+    ship_package(spark)
+    ddl = ", ".join(f"{k} {e.schema[k].dataType.simpleString()}" for k in keys)
+    return e.mapInPandas(make, f"{ddl}, height int, width int, nChannels int, data binary")
 
 
 def ints_to_binary(values) -> "F.Column":
