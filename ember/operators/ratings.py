@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ember.functions import AGE_LABELS, GENDER_CODES, age_group, split_list
+from ember.operators.skew import hot_key_join
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -116,14 +117,24 @@ def genre_stats(ratings: DataFrame, movies: DataFrame, genre_col: str = "title",
     )
 
 
-def with_user_attr(ratings: DataFrame, users: DataFrame, attr: str) -> DataFrame:
-    """Attach one user attribute to every rating (inner join on user)."""
-    return ratings.join(users.select("user_id", attr), "user_id")
+def with_user_attr(ratings: DataFrame, users: DataFrame, attr: str, hot_split: bool = False) -> DataFrame:
+    """Attach one user attribute to every rating (inner join on user).
+
+    Raw ratings meet the user table here, so a user with a large share of the
+    ratings is a hot join key.  By default AQE's skew-join split handles it at
+    run time (no extra pass); ``hot_split=True`` uses ``hot_key_join``, which
+    broadcasts the bounded set of hot users' rows (an extra counting pass).
+    """
+    dim = users.select("user_id", attr)
+    if hot_split:
+        return hot_key_join(ratings, dim, "user_id")
+    return ratings.join(dim, "user_id")
 
 
-def mean_by_pair(ratings: DataFrame, users: DataFrame, attr: str) -> DataFrame:
+def mean_by_pair(ratings: DataFrame, users: DataFrame, attr: str, hot_split: bool = False) -> DataFrame:
     """A3/A4: mean rating per (movie, user attribute), long form."""
-    return mean_count_by(with_user_attr(ratings, users, attr), ["movie_id", attr]).drop("total_ratings")
+    joined = with_user_attr(ratings, users, attr, hot_split)
+    return mean_count_by(joined, ["movie_id", attr]).drop("total_ratings")
 
 
 def with_age_group(users: DataFrame, age_col: str = "age", out: str = "age_group") -> DataFrame:
@@ -131,14 +142,14 @@ def with_age_group(users: DataFrame, age_col: str = "age", out: str = "age_group
     return users.withColumn(out, age_group(age_col))
 
 
-def attr_list(ratings: DataFrame, users: DataFrame, attr: str, out: str) -> DataFrame:
+def attr_list(ratings: DataFrame, users: DataFrame, attr: str, out: str, hot_split: bool = False) -> DataFrame:
     """The distinct attribute values seen per movie, as sorted text.
 
     ``collect_set`` is aggregated map-side first, so a partial state holds at
     most the number of distinct attribute values, never the raw ratings, and
     one shuffle suffices.
     """
-    pairs = with_user_attr(ratings, users, attr).select("movie_id", attr)
+    pairs = with_user_attr(ratings, users, attr, hot_split).select("movie_id", attr)
     return pairs.groupBy("movie_id").agg(
         F.array_join(F.array_sort(F.collect_set(attr)), ",").alias(out))
 
@@ -150,6 +161,7 @@ def pivot_mean(
     values: Sequence[str],
     names: Sequence[str],
     digits: int | None = 2,
+    hot_split: bool = False,
 ) -> DataFrame:
     """Long -> wide mean per movie with fixed columns.
 
@@ -158,7 +170,7 @@ def pivot_mean(
     ``pivot()``, which plans a second aggregation and shuffle.  Codes outside
     the list are dropped (T6); a group with no rating is NULL (T7).
     """
-    joined = with_user_attr(ratings, users, attr)
+    joined = with_user_attr(ratings, users, attr, hot_split)
     aggs = []
     for v, name in zip(values, names):
         mean = F.avg(F.when(F.col(attr) == v, F.col("rating")))
