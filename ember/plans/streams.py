@@ -56,14 +56,15 @@ def _process(decoded: DataFrame) -> DataFrame:
         .withColumn("status", F.lit("ok"))
 
 
-def _run(spark: SparkSession, staged: str, root: str, max_files: int | None = None) -> None:
+def _run(spark: SparkSession, staged: str, root: str, max_files: int | None = None) -> list[dict]:
     msgs = S.file_message_source(spark, staged, max_files_per_trigger=max_files)
-    decoded = S.decode_stream(msgs, EVENT_MESSAGE, keep=("partition",))
+    decoded = S.observe_ingest(S.decode_stream(msgs, EVENT_MESSAGE, keep=("partition",)))
     writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", _process)
     q = S.run_stream(decoded, writer, f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return S.batch_progress(q)
 
 
 def _ingest(spark: SparkSession, sf_dir: str, resume: bool, max_files: int | None = None) -> str:

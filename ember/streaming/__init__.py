@@ -83,6 +83,28 @@ def decode_stream(messages: DataFrame, schema: T.StructType = PACKET_CONSUMER,
     return decode_packets(messages, "value", schema, keep=keep, corrupt_col="_corrupt")
 
 
+def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
+    """Per-batch counts of messages and malformed messages as observed
+    metrics -- computed inside the batch's own job, read from the progress."""
+    return decoded.observe(name, F.count(F.lit(1)).alias("messages"),
+                           F.count_if(F.col("_corrupt").isNotNull()).alias("malformed"))
+
+
+def batch_progress(query, name: str = "ingest") -> list[dict]:
+    """One small record per finished micro-batch (id, input rows, observed
+    counts, duration) from the query's progress reports -- metadata only."""
+    out = []
+    for p in query.recentProgress:
+        get = (lambda k, p=p: p[k]) if isinstance(p, dict) else (lambda k, p=p: getattr(p, k))
+        metrics = get("observedMetrics") or {}
+        obs = metrics.get(name)
+        obs = obs.asDict() if hasattr(obs, "asDict") else (dict(obs) if obs else {})
+        dur = get("durationMs") or {}
+        out.append({"batch_id": get("batchId"), "input_rows": get("numInputRows"),
+                    "trigger_ms": dur.get("triggerExecution"), **obs})
+    return out
+
+
 def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
                   process: Callable[[DataFrame], DataFrame] | None = None,
                   count_by: tuple[str, ...] = ("partition",)) -> Callable[[DataFrame, int], None]:
@@ -97,10 +119,12 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
     """
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():  # F5
-            return
+        # Persist first: the emptiness probe, the writes and the counts then
+        # read each source row once (observed metrics count it once too).
         batch_df = batch_df.persist()
         try:
+            if batch_df.isEmpty():  # F5
+                return
             good = batch_df.where(F.col("_corrupt").isNull()).drop("_corrupt")
             bad = batch_df.where(F.col("_corrupt").isNotNull()).select("_corrupt", *[
                 c for c in count_by if c in batch_df.columns])

@@ -58,6 +58,6 @@ def run_frame_stream(
     make_segmenter: Callable | None = None, available_now: bool = False, trigger: str | None = None,
 ):
     """Start the frame job: decode -> process -> ``root/out|dead|counts``."""
-    decoded = S.decode_stream(messages, FRAME_PACKET, keep=("partition",))
+    decoded = S.observe_ingest(S.decode_stream(messages, FRAME_PACKET, keep=("partition",)))
     writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", frame_processor(make_segmenter))
     return S.run_stream(decoded, writer, f"{root}/checkpoint", available_now=available_now, trigger=trigger)

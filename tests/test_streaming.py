@@ -54,7 +54,8 @@ def test_dead_letters_do_not_fail_the_batch(spark, tmp_dir):  # T18, T19
     with open(f"{staged}/part-0.json", "w") as f:
         f.write(json.dumps({"key": "cam", "value": json.dumps(good)}) + "\n")
         f.write(json.dumps({"key": "cam", "value": "{broken"}) + "\n")
-    ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    progress = ST._run(spark, f"{tmp_dir}/staged", tmp_dir)
+    assert [(p["batch_id"], p["input_rows"], p["messages"], p["malformed"]) for p in progress] == [(0, 2, 2, 1)]
     assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").select("event_id", "k").collect()] == [(1, 5)]
     assert [r[0] for r in spark.read.parquet(f"{tmp_dir}/dead").select("_corrupt").collect()] == ["{broken"]
 
