@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ember.operators import ratings as R
 from ember.operators import report as RP
@@ -128,3 +129,15 @@ def test_report_two_decimals(spark):  # T9
     assert line == f"A AverageRating: {0.125:.2f} (TotalRatings: 2)"
     best = RP.best_movie_report(ratings, movies, 2).first()["report_line"]
     assert best == "A is the highest rated movie with an average rating of 0.12 among movies with at least 2 ratings."
+
+
+def test_other_report_lines(spark, data):  # K4
+    movies, users, occ, ratings = data
+    genres = spark.createDataFrame([("m2", "Heat Wave")], "movie_id string, title string")
+    g = {r["genre"]: r["report_line"] for r in RP.genre_report(ratings, genres).collect()}
+    assert g["Heat"] == "Heat - AverageRating: 4.00 (TotalRatings: 5)"
+    o = {r["occupation"]: r["report_line"] for r in RP.occupation_report(ratings, users, occ).collect()}
+    assert o["doctor"] == "doctor - AverageRating: 3.40 (TotalRatings: 5)"
+    y = {r["year"]: r["report_line"]
+         for r in RP.year_report(ratings.withColumn("ts", F.timestamp_seconds("ts"))).collect()}
+    assert y[2000] == "2000 - TotalRatings: 2, AverageRating: 4.00"

@@ -122,3 +122,24 @@ def test_write_frames_keyed_and_deduplicated(spark, tmp_dir):  # K6, W8, W9
                    ("camB", "camB_000001.png"): b"y"}
     dirs = sorted(d for d in os.listdir(f"{tmp_dir}/frames") if d.startswith("camera_id="))
     assert dirs == ["camera_id=camA", "camera_id=camB"]
+
+
+def test_batch_error_is_raised_not_swallowed(spark, tmp_dir):  # T19
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    staged = f"{tmp_dir}/staged/partition=0"
+    os.makedirs(staged)
+    with open(f"{staged}/part-0.json", "w") as f:
+        f.write(json.dumps({"key": "cam", "value": json.dumps({"event_id": 1, "camera_id": "c"})}) + "\n")
+
+    def failing(df):
+        raise ValueError("sink down")
+
+    msgs = S.file_message_source(spark, f"{tmp_dir}/staged")
+    writer = S.ingest_writer(f"{tmp_dir}/out", f"{tmp_dir}/dead", f"{tmp_dir}/counts", failing)
+    q = S.run_stream(S.decode_stream(msgs, ST.EVENT_MESSAGE), writer, f"{tmp_dir}/ck", available_now=True)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    # the failed batch is not committed: a restart on the checkpoint retries it
+    assert not os.path.exists(f"{tmp_dir}/ck/commits/0")
