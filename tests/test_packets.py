@@ -3,7 +3,6 @@
 import base64
 import json
 
-from pyspark.sql import functions as F
 
 from ember.operators import packets as P
 from ember.operators import quality as Q
