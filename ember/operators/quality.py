@@ -95,9 +95,13 @@ def validate_images(images: DataFrame, width: int | None = None, height: int | N
 
 
 def missing_outputs(expected: DataFrame, actual: DataFrame, key: str, actual_key: str | None = None) -> DataFrame:
-    """V3: expected keys with no output (left anti join; no row of
-    ``expected`` is multiplied, whatever ``actual`` holds per key)."""
-    a = actual.select(F.col(actual_key or key).alias("_k"))
+    """V3: expected keys with no output (left anti join).
+
+    ``actual`` is first reduced to its distinct keys, aggregated map-side:
+    AQE can split only the left side of an anti join, so a key holding a
+    third of ``actual`` would otherwise fill one task of the right side.
+    """
+    a = actual.select(F.col(actual_key or key).alias("_k")).distinct()
     return expected.join(a, expected[key] == a["_k"], "left_anti")
 
 
