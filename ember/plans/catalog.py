@@ -212,7 +212,7 @@ def payload_base64(spark, d):
 
 def payload_roundtrip(spark, d):
     docs = TD.table(spark, d, "documents")
-    return docs.select("doc_id", F.octet_length(b64decode(b64encode_text("text"))).alias("n_bytes"))
+    return docs.select("doc_id", F.octet_length(b64decode(b64encode_text("text"))).cast("bigint").alias("n_bytes"))
 
 
 def frame_filename_q(spark, d):
