@@ -15,6 +15,7 @@ from ember.sources.testdata import TABLES
 from tests.conftest import SMALL
 
 QUERIES = E.queries()
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 SQL = E.oracle_sql()
 
 
@@ -50,6 +51,10 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert canon(df.columns, got) == canon(dcols, res.fetchall())
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 @pytest.mark.parametrize("name", ["chroma_key_frames", "segment_frames"])
