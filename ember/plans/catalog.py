@@ -24,6 +24,7 @@ from ember.operators import report as RP
 from ember.operators import retail as RT
 from ember.sources import testdata as TD
 from ember.plans import streams as ST
+from ember.plans import textfiles as TF
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,6 +335,7 @@ def segment_frames(spark, d):
 
 QUERIES: dict[str, Query] = {
     "movie_stats": movie_stats,
+    "movie_stats_text": TF.movie_stats_text,
     "movies_min_count": movies_min_count,
     "top_rated_movie": top_rated_movie,
     "movie_report": movie_report,
@@ -351,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "ratings_union": ratings_union,
     "entity_counts": entity_counts,
     "orders_by_country": orders_by_country,
+    "orders_by_country_csv": TF.orders_by_country_csv,
     "orders_by_month": orders_by_month,
     "score_hist_raw": score_hist_raw,
     "score_clean": score_clean,

@@ -107,6 +107,10 @@ JOIN mask8 b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GR
   SELECT *, CASE WHEN mx = 0 THEN 0 ELSE floor((d * round(1044480.0 / mx) + 2048) / 4096) END AS s,
     CASE WHEN d = 0 THEN 0 ELSE floor(((CASE WHEN mx = r THEN g - b WHEN mx = g THEN b - r + 2 * d ELSE r - g + 4 * d END) * round(122880.0 / d) + 2048) / 4096) END AS h0 FROM (
   SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8))))""",
+    "movie_stats_text": """SELECT m.movie_id, m.title, round(avg(rating), 2) AS avg_rating, count(*) AS total_ratings
+FROM ratings r JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title""",
+    "orders_by_country_csv": """SELECT n_name AS country, count(*) AS cnt FROM customer JOIN orders ON c_custkey = o_custkey
+JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name ORDER BY cnt DESC, country""",
     "frame_stream": """SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, CAST(vec_id AS INTEGER) AS frame_number,
   'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename, 'ok' AS status FROM embeddings""",
 }
