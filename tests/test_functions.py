@@ -91,3 +91,28 @@ def test_to_int_is_ansi_safe(spark):  # T14
 def test_octets_counts_utf8_bytes(spark):
     got = one(spark, X.octets("s"), [("héllo",), ("",)], "s string")
     assert got == [6, 0]
+
+
+def test_base64_validity_property(spark):  # T23, randomized against Python's decoder
+    import binascii
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("AZaz09+/") + ["=", "=", "*", "\n", " ", "-"])
+    strings = st.lists(st.text(alphabet=alphabet, max_size=14), min_size=200, max_size=200)
+
+    def lenient(s):
+        try:
+            base64.b64decode(s)
+            return True
+        except (binascii.Error, ValueError):
+            return False
+
+    @settings(max_examples=3, deadline=None)
+    @given(strings)
+    def check(batch):
+        got = one(spark, X.is_valid_base64("s"), [(c,) for c in batch], "s string")
+        assert got == [lenient(c) for c in batch]
+
+    check()
