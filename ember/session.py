@@ -65,14 +65,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The location comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set -- a local test session -- do
-    we create one under the system temp folder and register it, so later
-    calls and ``DataFrame.checkpoint()`` use the same place.
+    checkpoint dir).  Only when neither is set and the master is local -- a
+    test session -- do we create one under the system temp folder and
+    register it, so later calls and ``DataFrame.checkpoint()`` use the same
+    place; on a cluster a missing setting is an error, never a local folder.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(HDFS, S3, ...): stream checkpoints and staged data live there")
         base = tempfile.mkdtemp(prefix="ember-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
