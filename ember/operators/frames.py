@@ -271,8 +271,8 @@ def alpha_threshold(df: DataFrame, scores_col: str = "scores", threshold: float
 
 
 def pixels(df: DataFrame, keys: Sequence[str] = ("frame_id",), data_col: str = "data",
-           value: str = "v", channels: int = 1) -> DataFrame:
-    """Explode single-channel frame bytes to (keys..., y, x, value) rows.
+           value: str = "v", channels: int = 1, channel: int = 0) -> DataFrame:
+    """Explode one channel of frame bytes to (keys..., y, x, value) rows.
 
     For reports and checks on small frames; the frame operators themselves
     never go per pixel in Spark.
@@ -280,6 +280,8 @@ def pixels(df: DataFrame, keys: Sequence[str] = ("frame_id",), data_col: str = "
     from ember.sources.testdata import binary_to_ints
 
     exploded = df.select(*keys, "width", F.posexplode(binary_to_ints(F.col(data_col))).alias("_i", value))
+    if channels > 1:
+        exploded = exploded.where(F.col("_i") % channels == channel)
+    pix = (F.col("_i") / F.lit(channels)).cast("bigint")
     w = F.col("width").cast("bigint")
-    return exploded.select(*keys, (F.col("_i") / F.lit(channels) / w).cast("bigint").alias("y"),
-                           ((F.col("_i") / F.lit(channels)).cast("bigint") % w).alias("x"), value)
+    return exploded.select(*keys, (pix / w).cast("bigint").alias("y"), (pix % w).alias("x"), value)

@@ -299,8 +299,9 @@ def message_volume(spark, d):
 
 def alpha_threshold(spark, d):
     masks = FR.alpha_threshold(TD.category_masks(spark, d), "scores")
-    return masks.select("frame_id", F.posexplode("alpha").alias("_i", "alpha")).select(
-        "frame_id", (F.col("_i") / 8).cast("bigint").alias("y"), (F.col("_i") % 8).cast("bigint").alias("x"),
+    w = F.col("width").cast("bigint")
+    return masks.select("frame_id", "width", F.posexplode("alpha").alias("_i", "alpha")).select(
+        "frame_id", (F.col("_i") / w).cast("bigint").alias("y"), (F.col("_i") % w).cast("bigint").alias("x"),
         "alpha")
 
 
@@ -316,6 +317,12 @@ def chroma_mask(spark, d):
     return FR.pixels(FR.chroma_mask(TD.synthetic_bgr_frames(spark, d)), ("frame_id",))
 
 
+def chroma_key_alpha(spark, d):
+    """I7 per pixel: the alpha channel of the chroma-keyed frames."""
+    keyed = FR.chroma_key_frames(TD.synthetic_bgr_frames(spark, d))
+    return FR.pixels(keyed, ("frame_id",), value="alpha", channels=4, channel=3)
+
+
 def chroma_key_frames(spark, d):
     return FR.chroma_key_frames(TD.synthetic_bgr_frames(spark, d)).select(
         "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
@@ -386,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "mask_dilate": mask_dilate,
     "mask_erode": mask_erode,
     "chroma_mask": chroma_mask,
+    "chroma_key_alpha": chroma_key_alpha,
     "chroma_key_frames": chroma_key_frames,
     "frame_stream": ST.frame_stream,
     "segment_frames": segment_frames,

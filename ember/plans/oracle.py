@@ -111,6 +111,20 @@ JOIN mask8 b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GR
 FROM ratings r JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title""",
     "orders_by_country_csv": """SELECT n_name AS country, count(*) AS cnt FROM customer JOIN orders ON c_custkey = o_custkey
 JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name ORDER BY cnt DESC, country""",
+    "chroma_key_alpha": """SELECT frame_id, y, x, CAST(255 - v AS INTEGER) AS alpha FROM (
+WITH m0 AS (SELECT frame_id, y, x, CASE WHEN h BETWEEN 35 AND 90 AND s BETWEEN 40 AND 255 AND mx BETWEEN 40 AND 255 THEN 255 ELSE 0 END AS v FROM (
+  SELECT *, CASE WHEN h0 < 0 THEN h0 + 180 ELSE h0 END AS h FROM (
+  SELECT *, CASE WHEN mx = 0 THEN 0 ELSE floor((d * round(1044480.0 / mx) + 2048) / 4096) END AS s,
+    CASE WHEN d = 0 THEN 0 ELSE floor(((CASE WHEN mx = r THEN g - b WHEN mx = g THEN b - r + 2 * d ELSE r - g + 4 * d END) * round(122880.0 / d) + 2048) / 4096) END AS h0 FROM (
+  SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8))))),
+se AS (SELECT * FROM (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS t(dy, dx)),
+c1 AS (SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM m0 a CROSS JOIN se JOIN m0 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
+c2 AS (SELECT a.frame_id, a.y, a.x, min(b.v) AS v FROM c1 a CROSS JOIN se JOIN c1 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
+o1 AS (SELECT a.frame_id, a.y, a.x, min(b.v) AS v FROM c2 a CROSS JOIN se JOIN c2 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
+o2 AS (SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM o1 a CROSS JOIN se JOIN o1 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
+k AS (SELECT * FROM (VALUES (-2,1),(-1,4),(0,6),(1,4),(2,1)) AS t(o, w)),
+bl AS (SELECT a.frame_id, a.y, a.x, (sum(ky.w * kx.w * b.v) + 128) // 256 AS v FROM o2 a CROSS JOIN k ky CROSS JOIN k kx JOIN o2 b ON b.frame_id = a.frame_id AND b.y = (CASE WHEN a.y + ky.o < 0 THEN -(a.y + ky.o) WHEN a.y + ky.o > 7 THEN 14 - (a.y + ky.o) ELSE a.y + ky.o END) AND b.x = (CASE WHEN a.x + kx.o < 0 THEN -(a.x + kx.o) WHEN a.x + kx.o > 7 THEN 14 - (a.x + kx.o) ELSE a.x + kx.o END) GROUP BY 1, 2, 3)
+SELECT * FROM bl)""",
     "frame_stream": """SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, CAST(vec_id AS INTEGER) AS frame_number,
   'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename, 'ok' AS status FROM embeddings""",
 }
