@@ -335,6 +335,12 @@ def _brightness_segmenter():
     return fn
 
 
+def segment_alpha(spark, d):
+    """I8/I9 per pixel: the alpha channel after the pluggable segmenter."""
+    seg = FR.segment_frames(TD.synthetic_bgr_frames(spark, d), _brightness_segmenter)
+    return FR.pixels(seg, ("frame_id",), value="alpha", channels=4, channel=3)
+
+
 def segment_frames(spark, d):
     return FR.segment_frames(TD.synthetic_bgr_frames(spark, d), _brightness_segmenter).select(
         "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
@@ -396,5 +402,6 @@ QUERIES: dict[str, Query] = {
     "chroma_key_alpha": chroma_key_alpha,
     "chroma_key_frames": chroma_key_frames,
     "frame_stream": ST.frame_stream,
+    "segment_alpha": segment_alpha,
     "segment_frames": segment_frames,
 }
