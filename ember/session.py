@@ -32,6 +32,32 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+MiB = 1 << 20
+GiB = 1 << 30
+
+
+def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition_bytes: int = 256 * MiB,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Sizing for a large run: shuffle partitions from the input size.
+
+    Each shuffle starts with about one partition per ``target_partition_bytes``
+    of input (never fewer than 2x the cores), and AQE coalesces small ones to
+    the same advisory size, so a partition fits an executor task at any scale
+    instead of Spark's fixed default of 200.  Scans split files at 256 MiB.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    if cores:
+        parts = max(parts, 2 * cores)
+    parts = min(parts, max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * MiB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(
     app_name: str = "ember",
     master: str | None = None,
