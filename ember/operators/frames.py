@@ -136,6 +136,25 @@ def _frame(data: bytes, h: int, w: int, c: int) -> np.ndarray | None:
         np.frombuffer(data, dtype=np.uint8).reshape(h, w)
 
 
+def _bgr_frames(pdf: pd.DataFrame):
+    """Yield each row's frame as H x W x 3 BGR (None when it does not decode).
+
+    Like a decoder asked for colour: a 4-channel BGRA image loses its alpha, a
+    1-channel image is repeated to three; without ``nChannels`` the bytes are
+    taken as BGR.
+    """
+    chans = pdf["nChannels"] if "nChannels" in pdf.columns else [3] * len(pdf)
+    for h, w, c, data in zip(pdf["height"], pdf["width"], chans, pdf["data"]):
+        c = 3 if c is None or pd.isna(c) else int(c)
+        f = _frame(data, h, w, c) if c in (1, 3, 4) else None
+        if f is None:
+            yield None
+        elif c == 1:
+            yield np.repeat(f[..., None], 3, axis=2)
+        else:
+            yield f[..., :3]
+
+
 def _map_frames(df: DataFrame, keys: Sequence[str], out_schema: str,
                 per_partition: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> DataFrame:
     from ember.session import ship_package
@@ -173,8 +192,7 @@ def chroma_mask(df: DataFrame, keys: Sequence[str] = ("frame_id",), lower=GREEN_
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for h, w, data in zip(pdf["height"], pdf["width"], pdf["data"]):
-                bgr = _frame(data, h, w, 3)
+            for bgr in _bgr_frames(pdf):
                 out.append(None if bgr is None else in_range(bgr_to_hsv(bgr), lower, upper).tobytes())
             res = pdf[keys].copy()
             res["height"], res["width"], res["nChannels"] = pdf["height"], pdf["width"], 1
@@ -196,8 +214,7 @@ def chroma_key_frames(df: DataFrame, keys: Sequence[str] = ("frame_id",)) -> Dat
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out, status = [], []
-            for h, w, data in zip(pdf["height"], pdf["width"], pdf["data"]):
-                bgr = _frame(data, h, w, 3)
+            for bgr in _bgr_frames(pdf):
                 if bgr is None:
                     out.append(None)
                     status.append("undecodable")
@@ -236,8 +253,7 @@ def segment_frames(
         try:
             for pdf in batches:
                 out, status = [], []
-                for h, w, data in zip(pdf["height"], pdf["width"], pdf["data"]):
-                    bgr = _frame(data, h, w, 3)
+                for h, w, bgr in zip(pdf["height"], pdf["width"], _bgr_frames(pdf)):
                     if bgr is None:
                         out.append(None)
                         status.append("undecodable")

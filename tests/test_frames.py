@@ -161,3 +161,21 @@ def test_map_masks_and_pixels(spark):
     got = np.array([r["v"] for r in px]).reshape(8, 8)
     assert np.array_equal(got, slow_morph(mask, True))
     assert (px[9]["y"], px[9]["x"]) == (1, 1)
+
+
+def test_frames_from_image_files_any_channel_count(spark, tmp_path):  # S12 -> I7
+    import os
+
+    from ember.sources.files import read_frames
+    from tests.pngutil import write_png
+
+    gs = green_screen()
+    rgb = gs[..., ::-1]
+    write_png(os.path.join(tmp_path, "cam_000001.png"), rgb)
+    write_png(os.path.join(tmp_path, "cam_000002.png"), np.dstack([rgb, np.full((32, 32), 255, np.uint8)]))
+    frames = read_frames(spark, str(tmp_path))
+    out = {r["frame_number"]: r for r in FR.chroma_key_frames(frames, ("camera_id", "frame_number")).collect()}
+    assert {r["status"] for r in out.values()} == {"ok"}
+    for r in out.values():
+        bgra = np.frombuffer(r["data"], dtype=np.uint8).reshape(32, 32, 4)
+        assert np.array_equal(bgra, FR.chroma_key(gs))
