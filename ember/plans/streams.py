@@ -71,19 +71,26 @@ def _run(spark: SparkSession, staged: str, root: str, max_files: int | None = No
     return S.batch_progress(q)
 
 
+# Progress records of the last ingest run (batch id, rows, observed counts,
+# trigger time), kept for reporting; metadata only, a few entries per run.
+LAST_PROGRESS: list[dict] = []
+
+
 def _ingest(spark: SparkSession, sf_dir: str, resume: bool, max_files: int | None = None) -> str:
     root = shared_dir(spark, "stream")
     staged = f"{root}/staged"
     msgs = event_messages(spark, sf_dir)
+    progress = []
     if resume:
         first = list(range(STAGE_PARTITIONS // 2 + 1))
         stage(msgs, staged, first)
-        _run(spark, staged, root, max_files)
+        progress += _run(spark, staged, root, max_files)
         stage(msgs, staged, [p for p in range(STAGE_PARTITIONS) if p not in first])
-        _run(spark, staged, root, max_files)
+        progress += _run(spark, staged, root, max_files)
     else:
         stage(msgs, staged)
-        _run(spark, staged, root, max_files)
+        progress += _run(spark, staged, root, max_files)
+    LAST_PROGRESS[:] = progress
     return root
 
 
