@@ -104,6 +104,9 @@ def in_camera_order(df: DataFrame, camera_col: str = "camera_id", frame_col: str
 
     The message key keeps a camera in one Kafka partition; in Spark the same
     guarantee is a hash partitioning on the camera plus a sort inside each
-    partition (no global sort, no single task for all cameras).
+    partition (no global sort, no single task for all cameras).  As with a
+    Kafka partition, one camera's frames are never split, so a camera with a
+    third of all frames fills a third of one task: use this only where the
+    per-camera order is the point.
     """
     return df.repartition(F.col(camera_col)).sortWithinPartitions(camera_col, frame_col)
