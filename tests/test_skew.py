@@ -43,3 +43,35 @@ def test_user_attr_paths_agree_with_and_without_split(spark):
     a = sorted(tuple(r) for r in R.mean_by_pair(ratings, users, "gender").collect())
     b = sorted(tuple(r) for r in R.mean_by_pair(ratings, users, "gender", hot_split=True).collect())
     assert a == b
+
+
+def test_aqe_splits_a_hot_user_in_the_default_path(spark):
+    """One user holds a third of the ratings: the final plan's join is split."""
+    from ember.operators import ratings as R
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60000
+        ratings = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 997 + 100).alias("user_id"),
+            (F.col("id") % 211).alias("movie_id"), (F.col("id") % 5 + 1).cast("double").alias("rating"))
+        users = spark.range(2000).select(F.col("id").alias("user_id"),
+                                         F.when(F.col("id") % 2 == 0, "M").otherwise("F").alias("gender"))
+        df = R.mean_by_pair(ratings, users, "gender")
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
