@@ -147,7 +147,8 @@ def attr_list(ratings: DataFrame, users: DataFrame, attr: str, out: str, hot_spl
 
     ``collect_set`` is aggregated map-side first, so a partial state holds at
     most the number of distinct attribute values, never the raw ratings, and
-    one shuffle suffices.
+    one shuffle suffices.  Meant for low-cardinality attributes (gender, age
+    group), whose list per movie is bounded by the attribute's domain.
     """
     pairs = with_user_attr(ratings, users, attr, hot_split).select("movie_id", attr)
     return pairs.groupBy("movie_id").agg(
