@@ -121,7 +121,10 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session: ship the package with the job instead
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return
