@@ -8,9 +8,11 @@ and a replayed batch replaces its own output instead of adding to it.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,8 @@ from ember.schemas import MESSAGE, PACKET_CONSUMER
 DEFAULT_TRIGGER = "5 seconds"
 DEFAULT_MAX_PER_TRIGGER = 20
 DEFAULT_STARTING_OFFSETS = "latest"
+_LOG = logging.getLogger("ember.streaming")
+
 # Row statuses that count as processed (frame operators set these).
 OK_STATUSES = ("ok", "segmented", "chroma_key")
 
@@ -105,6 +109,40 @@ def batch_progress(query, name: str = "ingest") -> list[dict]:
     return out
 
 
+class BatchLineListener(StreamingQueryListener):
+    """One result line per finished micro-batch, from progress events.
+
+    Register with ``spark.streams.addListener(BatchLineListener())``; each
+    batch of a query that used ``observe_ingest`` adds a line
+    ``Batch <id> finished. Processed <rows> items (<malformed> malformed).``
+    to ``lines`` and to the ``ember.streaming`` logger.  Only progress
+    metadata reaches the driver.
+    """
+
+    def __init__(self, name: str = "ingest"):
+        self.name = name
+        self.lines: list[str] = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        obs = (p.observedMetrics or {}).get(self.name)
+        if obs is None:
+            return
+        line = (f"Batch {p.batchId} finished. Processed {obs['messages'] - obs['malformed']} items "
+                f"({obs['malformed']} malformed).")
+        self.lines.append(line)
+        _LOG.info(line)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
                   process: Callable[[DataFrame], DataFrame] | None = None,
                   count_by: tuple[str, ...] = ("partition",)) -> Callable[[DataFrame, int], None]:

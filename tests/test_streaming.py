@@ -143,3 +143,24 @@ def test_batch_error_is_raised_not_swallowed(spark, tmp_dir):  # T19
         q.awaitTermination()
     # the failed batch is not committed: a restart on the checkpoint retries it
     assert not os.path.exists(f"{tmp_dir}/ck/commits/0")
+
+
+def test_batch_line_listener(spark, tmp_dir):  # W10
+    import time
+
+    listener = S.BatchLineListener()
+    spark.streams.addListener(listener)
+    try:
+        msgs = ST.event_messages(spark, SMALL)
+        ST.stage(msgs, f"{tmp_dir}/staged", [0, 1])
+        ST._run(spark, f"{tmp_dir}/staged", tmp_dir, max_files=1)
+        deadline = time.time() + 30
+        while len(listener.lines) < 2 and time.time() < deadline:   # events arrive asynchronously
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    want = sorted(r[0] for r in msgs.where(F.col("partition").isin(0, 1)).groupBy("partition").count()
+                  .select("count").collect())
+    got = sorted(int(line.split("Processed ")[1].split(" ")[0]) for line in listener.lines)
+    assert got == want
+    assert all(line.startswith("Batch ") and "(0 malformed)" in line for line in listener.lines)
