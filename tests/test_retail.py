@@ -91,3 +91,29 @@ def test_top_n_is_take_ordered(spark):  # O5
     top = RT.top_n(df, [F.desc("v"), F.asc("id")], 3)
     assert [r["id"] for r in top.collect()] == [6, 13, 20]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_product_scores_property_vs_fanout_join(spark):  # T11, randomized
+    import random
+
+    rnd = random.Random(11)
+    for _ in range(3):
+        orders_keys = [rnd.randint(0, 12) for _ in range(rnd.randint(0, 15))]          # duplicates allowed
+        items = [(rnd.choice([None] + list(range(15))), rnd.choice([None, "p1", "p2", "p3"]))
+                 for _ in range(rnd.randint(1, 40))]
+        reviews = [(rnd.choice([None] + list(range(15))), rnd.choice(["1", "2", "3", "4", "5", "0", "x", None, "1.0"]))
+                   for _ in range(rnd.randint(0, 30))]
+        i_df = spark.createDataFrame(items, "o long, p string")
+        r_df = spark.createDataFrame(reviews, "o long, s string")
+        o_df = spark.createDataFrame([(k,) for k in orders_keys], "o long")
+        got = {r["product_id"]: (r["total_sold"], r["avg_score"]) for r in RT.product_scores(
+            i_df, r_df, o_df, item_order_key="o", item_product_key="p", review_order_key="o", score="s",
+            order_key="o").collect()}
+        acc = defaultdict(list)
+        for io, p in items:
+            for ro, s in reviews:
+                for ok in orders_keys:
+                    if io is not None and io == ro == ok and s in ("1", "2", "3", "4", "5"):
+                        acc[p].append(int(s))
+        want = {p: (sum(1 for _ in v if p is not None), round(sum(v) / len(v), 2)) for p, v in acc.items()}
+        assert got == want
