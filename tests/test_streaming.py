@@ -164,3 +164,20 @@ def test_batch_line_listener(spark, tmp_dir):  # W10
     got = sorted(int(line.split("Processed ")[1].split(" ")[0]) for line in listener.lines)
     assert got == want
     assert all(line.startswith("Batch ") and "(0 malformed)" in line for line in listener.lines)
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, tmp_dir):  # W2
+    msgs = ST.event_messages(spark, SMALL)
+    ST.stage(msgs, f"{tmp_dir}/staged", [0])
+    src = S.file_message_source(spark, f"{tmp_dir}/staged")
+    writer = S.ingest_writer(f"{tmp_dir}/out", f"{tmp_dir}/dead", f"{tmp_dir}/counts", ST._process)
+    q = S.run_stream(S.decode_stream(src, ST.EVENT_MESSAGE), writer, f"{tmp_dir}/ck", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        ST.stage(msgs, f"{tmp_dir}/staged", [1])      # new data while running
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    want = msgs.where(F.col("partition").isin(0, 1)).count()
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == want
