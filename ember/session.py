@@ -58,21 +58,35 @@ def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition
     }
 
 
+# Maven coordinate of Spark's Kafka connector for this Spark line (Scala 2.13).
+KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.0"
+
+
 def build_session(
     app_name: str = "ember",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    *,
+    packages: list[str] | None = None,
+    log_level: str = "WARN",
 ) -> SparkSession:
-    """Create (or return) a session with the library defaults applied."""
+    """Create (or return) a session with the library defaults applied.
+
+    ``packages`` adds Maven coordinates (e.g. ``[KAFKA_PACKAGE]`` for the Kafka
+    source and sink); ``conf`` overrides any default, e.g. memory sizes or
+    ``cluster_conf(...)``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     merged = dict(DEFAULT_CONF)
+    if packages:
+        merged["spark.jars.packages"] = ",".join(packages)
     merged.update(conf or {})
     for key, value in merged.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    spark.sparkContext.setLogLevel(log_level)
     return spark
 
 
