@@ -149,19 +149,22 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
     """The per-batch function for ``foreachBatch``.
 
     Per batch: good rows (optionally through ``process``) to
-    ``out/batch_id=N``, malformed ones to ``dead/batch_id=N``, and the count
-    of processed rows per source partition to ``counts/batch_id=N``.  Every
+    ``out/batch_id=N``, malformed ones (if any) to ``dead/batch_id=N``, and
+    the count of processed rows per source partition to ``counts/batch_id=N``.  Every
     write overwrites its batch folder, so a replay is idempotent.  An error is
     raised, not swallowed: the batch is then not committed and is retried,
     where the reference lost it (T19).
     """
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        # Persist first: the emptiness probe, the writes and the counts then
-        # read each source row once (observed metrics count it once too).
+        # Persist first: the probe, the writes and the counts then read each
+        # source row once (observed metrics count it once too).  One probe job
+        # gives both the emptiness check and the number of malformed rows.
         batch_df = batch_df.persist()
         try:
-            if batch_df.isEmpty():  # F5
+            probe = batch_df.agg(F.count(F.lit(1)).alias("n"),
+                                 F.count_if(F.col("_corrupt").isNotNull()).alias("bad")).first()
+            if probe["n"] == 0:  # F5
                 return
             good = batch_df.where(F.col("_corrupt").isNull()).drop("_corrupt")
             bad = batch_df.where(F.col("_corrupt").isNotNull()).select("_corrupt", *[
@@ -170,7 +173,8 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
                 good = process(good)
             good = good.persist()
             good.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+            if probe["bad"]:
+                bad.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
             keys = [c for c in count_by if c in good.columns]
             ok = F.col("status").isin(*OK_STATUSES) if "status" in good.columns else F.lit(True)
             (good.groupBy(*keys).agg(F.count_if(ok).alias("processed"))
