@@ -32,26 +32,38 @@ ELLIPSE_5X5 = np.array([
     [0, 0, 1, 0, 0],
 ], dtype=bool)
 SEGMENT_THRESHOLD = 0.1
-GAUSS_5 = np.array([1, 4, 6, 4, 1], dtype=np.int64)
+GAUSS_5 = np.array([1, 4, 6, 4, 1], dtype=np.int32)
 
 # ----------------------------------------------------------- numpy kernels --
 
 
-def bgr_to_hsv(bgr: np.ndarray) -> np.ndarray:
-    """8-bit BGR -> HSV with H in 0..179, S and V in 0..255 (integer maths)."""
-    b, g, r = (bgr[..., i].astype(np.int64) for i in range(3))
+_HSV_SHIFT = 12
+_HSV_HALF = 1 << (_HSV_SHIFT - 1)
+# Fixed-point reciprocal tables of the 8-bit conversion, built from their rule:
+# S divisor round(255 * 2^12 / v), H divisor round(180 * 2^12 / (6 d)); 0 for 0.
+_IDX = np.arange(256, dtype=np.float64)
+with np.errstate(divide="ignore"):
+    _SDIV = np.where(_IDX == 0, 0, np.rint((255 << _HSV_SHIFT) / np.maximum(_IDX, 1))).astype(np.int32)
+    _HDIV = np.where(_IDX == 0, 0, np.rint((180 << _HSV_SHIFT) / (6.0 * np.maximum(_IDX, 1)))).astype(np.int32)
+
+
+def _hsv_planes(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """H (0..179), S, V planes of an 8-bit BGR image, int32, integer maths."""
+    b = bgr[..., 0].astype(np.int32)
+    g = bgr[..., 1].astype(np.int32)
+    r = bgr[..., 2].astype(np.int32)
     v = np.maximum(np.maximum(b, g), r)
     d = v - np.minimum(np.minimum(b, g), r)
-    shift = 12
-    half = 1 << (shift - 1)
-    with np.errstate(divide="ignore"):
-        sdiv = np.where(v == 0, 0, np.rint((255 << shift) / np.where(v == 0, 1, v))).astype(np.int64)
-        hdiv = np.where(d == 0, 0, np.rint((180 << shift) / (6.0 * np.where(d == 0, 1, d)))).astype(np.int64)
-    s = (d * sdiv + half) >> shift
+    s = (d * _SDIV[v] + _HSV_HALF) >> _HSV_SHIFT
     num = np.where(v == r, g - b, np.where(v == g, b - r + 2 * d, r - g + 4 * d))
-    h = (num * hdiv + half) >> shift
-    h = np.where(h < 0, h + 180, h)
-    return np.stack([h, s, v], axis=-1)
+    h = (num * _HDIV[d] + _HSV_HALF) >> _HSV_SHIFT
+    h += 180 * (h < 0)
+    return h, s, v
+
+
+def bgr_to_hsv(bgr: np.ndarray) -> np.ndarray:
+    """8-bit BGR -> HSV with H in 0..179, S and V in 0..255 (integer maths)."""
+    return np.stack(_hsv_planes(bgr), axis=-1)
 
 
 def in_range(hsv: np.ndarray, lower: Sequence[int], upper: Sequence[int]) -> np.ndarray:
@@ -61,6 +73,15 @@ def in_range(hsv: np.ndarray, lower: Sequence[int], upper: Sequence[int]) -> np.
     return np.where(np.all((hsv >= lo) & (hsv <= hi), axis=-1), 255, 0).astype(np.uint8)
 
 
+def hsv_in_range(bgr: np.ndarray, lower: Sequence[int], upper: Sequence[int]) -> np.ndarray:
+    """``in_range(bgr_to_hsv(bgr), ...)`` without building the HSV image."""
+    keep = None
+    for plane, lo, hi in zip(_hsv_planes(bgr), lower, upper):
+        ok = (plane >= lo) & (plane <= hi)
+        keep = ok if keep is None else keep & ok
+    return keep.astype(np.uint8) * np.uint8(255)
+
+
 def _morph(mask: np.ndarray, kernel: np.ndarray, reduce_max: bool) -> np.ndarray:
     kh, kw = kernel.shape
     ph, pw = kh // 2, kw // 2
@@ -94,7 +115,7 @@ def open_(mask: np.ndarray, kernel: np.ndarray = ELLIPSE_5X5) -> np.ndarray:
 
 def gaussian_blur5(mask: np.ndarray) -> np.ndarray:
     """5x5 Gaussian of an 8-bit image, reflect-101 border, rounded."""
-    padded = np.pad(mask.astype(np.int64), 2, mode="reflect")  # numpy "reflect" == reflect-101
+    padded = np.pad(mask.astype(np.int32), 2, mode="reflect")  # numpy "reflect" == reflect-101
     h, w = mask.shape
     rows = sum(GAUSS_5[i] * padded[:, i:i + w] for i in range(5))
     both = sum(GAUSS_5[i] * rows[i:i + h, :] for i in range(5))
@@ -104,7 +125,7 @@ def gaussian_blur5(mask: np.ndarray) -> np.ndarray:
 def chroma_key(bgr: np.ndarray, lower=GREEN_LOWER, upper=GREEN_UPPER) -> np.ndarray:
     """BGR -> BGRA with green made transparent; on error the frame stays opaque."""
     try:
-        mask = in_range(bgr_to_hsv(bgr), lower, upper)
+        mask = hsv_in_range(bgr, lower, upper)
         mask = gaussian_blur5(open_(close(mask)))
         alpha = (255 - mask.astype(np.int64)).astype(np.uint8)
     except Exception:  # noqa: BLE001 -- the reference's fall-back: opaque frame
@@ -193,7 +214,7 @@ def chroma_mask(df: DataFrame, keys: Sequence[str] = ("frame_id",), lower=GREEN_
         for pdf in batches:
             out = []
             for bgr in _bgr_frames(pdf):
-                out.append(None if bgr is None else in_range(bgr_to_hsv(bgr), lower, upper).tobytes())
+                out.append(None if bgr is None else hsv_in_range(bgr, lower, upper).tobytes())
             res = pdf[keys].copy()
             res["height"], res["width"], res["nChannels"] = pdf["height"], pdf["width"], 1
             res["data"] = out
