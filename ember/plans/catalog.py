@@ -323,6 +323,16 @@ def chroma_key_alpha(spark, d):
     return FR.pixels(keyed, ("frame_id",), value="alpha", channels=4, channel=3)
 
 
+VGA = (480, 640)
+
+
+def chroma_key_vga(spark, d):
+    """I7 at the reference's frame size: one 640x480 frame per embedding row."""
+    frames = TD.synthetic_bgr_frames(spark, d, height=VGA[0], width=VGA[1])
+    return FR.chroma_key_frames(frames).select(
+        "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
+
+
 def chroma_key_frames(spark, d):
     return FR.chroma_key_frames(TD.synthetic_bgr_frames(spark, d)).select(
         "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
@@ -401,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "chroma_mask": chroma_mask,
     "chroma_key_alpha": chroma_key_alpha,
     "chroma_key_frames": chroma_key_frames,
+    "chroma_key_vga": chroma_key_vga,
     "frame_stream": ST.frame_stream,
     "segment_alpha": segment_alpha,
     "segment_frames": segment_frames,

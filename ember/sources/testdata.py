@@ -147,8 +147,9 @@ def category_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_camera: bool = False) -> DataFrame:
-    """A deterministic ``side`` x ``side`` BGR frame per embedding id.
+def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_camera: bool = False,
+                         height: int | None = None, width: int | None = None) -> DataFrame:
+    """A deterministic ``side`` x ``side`` (or ``height`` x ``width``) BGR frame per embedding id.
 
     Pixel i of frame f: B = (7f + 13i) % 256, G = (31f + 29i) % 256,
     R = (17f + 5i) % 256, interleaved B, G, R row by row.  With
@@ -160,8 +161,13 @@ def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_c
     e = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("frame_id"),
         *([F.concat(F.lit("cam"), F.col("label").cast("string")).alias("camera_id")] if with_camera else []))
+    # Pixel work is ~ms per frame while an id row is a few bytes: spread the ids
+    # over the cluster's parallelism before the frames exist (a small table is
+    # otherwise one task), so generation and every frame kernel run in parallel.
+    e = e.repartition(max(1, spark.sparkContext.defaultParallelism))
     keys = list(e.columns)
-    n = side * side
+    fh, fw = height or side, width or side
+    n = fh * fw
 
     def make(batches):
         import numpy as np
@@ -173,7 +179,7 @@ def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_c
                 px = np.stack([(f * 7 + i * 13) % 256, (f * 31 + i * 29) % 256, (f * 17 + i * 5) % 256], axis=1)
                 data.append(px.astype(np.uint8).tobytes())
             out = pdf[keys].copy()
-            out["height"], out["width"], out["nChannels"] = side, side, 3
+            out["height"], out["width"], out["nChannels"] = fh, fw, 3
             out["data"] = data
             yield out
 

@@ -40,7 +40,7 @@ def canon(cols, records):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(QUERIES) - set(SQL) == {"chroma_key_frames", "segment_frames"}
+    assert set(QUERIES) - set(SQL) == {"chroma_key_frames", "chroma_key_vga", "segment_frames"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -57,7 +57,7 @@ def test_query_matches_oracle(spark, con, name):
     assert spark_types == duck_types
 
 
-@pytest.mark.parametrize("name", ["chroma_key_frames", "segment_frames"])
+@pytest.mark.parametrize("name", ["chroma_key_frames", "chroma_key_vga", "segment_frames"])
 def test_rows_only_queries(spark, con, name):
     out = QUERIES[name](spark, SMALL).collect()
     assert len(out) == con.execute("SELECT count(*) FROM embeddings").fetchone()[0]
