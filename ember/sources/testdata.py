@@ -173,11 +173,15 @@ def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_c
         import numpy as np
 
         i = np.arange(n, dtype=np.int64)
+        # (f*a + i*b) % 256 == ((i*b) % 256 + f*a) % 256: the pixel terms once per partition.
+        terms = [((i * b) % 256, a) for a, b in ((7, 13), (31, 29), (17, 5))]
         for pdf in batches:
             data = []
             for f in pdf["frame_id"].to_numpy(dtype=np.int64):
-                px = np.stack([(f * 7 + i * 13) % 256, (f * 31 + i * 29) % 256, (f * 17 + i * 5) % 256], axis=1)
-                data.append(px.astype(np.uint8).tobytes())
+                px = np.empty((n, 3), dtype=np.uint8)
+                for c, (ib, a) in enumerate(terms):
+                    px[:, c] = (ib + f * a) % 256
+                data.append(px.tobytes())
             out = pdf[keys].copy()
             out["height"], out["width"], out["nChannels"] = fh, fw, 3
             out["data"] = data
