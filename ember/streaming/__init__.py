@@ -30,22 +30,26 @@ _LOG = logging.getLogger("ember.streaming")
 OK_STATUSES = ("ok", "segmented", "chroma_key")
 
 
-def kafka_source(
-    spark: SparkSession, servers: str, topic: str, *,
+def kafka_source_options(
+    servers: str, topic: str, *,
     starting_offsets: str = DEFAULT_STARTING_OFFSETS,
     max_offsets_per_trigger: int | None = DEFAULT_MAX_PER_TRIGGER,
     extra: dict[str, str] | None = None,
-) -> DataFrame:
-    """Kafka messages (needs the spark-sql-kafka connector on the classpath)."""
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets))
+) -> dict[str, str]:
+    """Subscribe to one topic from ``latest`` (data before the first
+    start is skipped; a restart resumes from the checkpoint), at most
+    ``max_offsets_per_trigger`` messages per micro-batch."""
+    opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets}
     if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    for k, v in (extra or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    opts.update(extra or {})
+    return opts
+
+
+def kafka_source(spark: SparkSession, servers: str, topic: str, **kw) -> DataFrame:
+    """Kafka messages (needs the spark-sql-kafka connector on the classpath,
+    e.g. ``build_session(packages=[KAFKA_PACKAGE])``)."""
+    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic, **kw)).load()
 
 
 def file_message_source(

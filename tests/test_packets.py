@@ -134,3 +134,13 @@ def test_in_camera_order(spark):  # W7
             by_cam.setdefault(cam, []).append(n)
         assert all(v == sorted(v) for v in by_cam.values())
     assert sum(len({c for c, _ in p}) for p in parts if p) == 2   # a camera never spans partitions
+
+
+def test_kafka_source_options():  # S11, W3, W4
+    from ember.streaming import kafka_source_options
+
+    opts = kafka_source_options("b1:9092", "image-frames")
+    assert opts == {"kafka.bootstrap.servers": "b1:9092", "subscribe": "image-frames",
+                    "startingOffsets": "latest", "maxOffsetsPerTrigger": "20"}
+    uncapped = kafka_source_options("b1:9092", "t", max_offsets_per_trigger=None, starting_offsets="earliest")
+    assert "maxOffsetsPerTrigger" not in uncapped and uncapped["startingOffsets"] == "earliest"
