@@ -144,3 +144,4 @@ def test_kafka_source_options():  # S11, W3, W4
                     "startingOffsets": "latest", "maxOffsetsPerTrigger": "20"}
     uncapped = kafka_source_options("b1:9092", "t", max_offsets_per_trigger=None, starting_offsets="earliest")
     assert "maxOffsetsPerTrigger" not in uncapped and uncapped["startingOffsets"] == "earliest"
+    assert kafka_source_options("b", "t", min_partitions=64)["minPartitions"] == "64"
