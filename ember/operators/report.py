@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ember.functions import or_na, two_decimals
+from ember.functions import AGE_LABELS, or_na, two_decimals
 from ember.operators import ratings as R
 
 
@@ -62,8 +62,6 @@ def gender_report(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> Da
 
 def age_report(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """``{title} - [0-18: a, 18-35: b, 35-50: c, 50+: d]``."""
-    from ember.functions import AGE_LABELS
-
     wide = R.age_pivot(ratings, users, movies, digits=None)
     parts: list = [F.col("title"), " - ["]
     for i, (label, col) in enumerate(zip(AGE_LABELS, R.AGE_COLUMNS)):
