@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ember.functions import AGE_LABELS, or_na, two_decimals
+from ember.functions import AGE_LABELS, or_na, split_list, two_decimals
 from ember.operators import ratings as R
 
 
@@ -41,9 +41,10 @@ def best_movie_report(ratings: DataFrame, movies: DataFrame, min_count: int = 5)
     )
 
 
-def genre_report(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def genre_report(ratings: DataFrame, movies: DataFrame, genre_col: str = "title", sep: str = " ") -> DataFrame:
+    """``{genre} - AverageRating: {avg:.2f} (TotalRatings: {n})`` per genre."""
     per_movie = R.sum_count_by(ratings, ["movie_id"], "rating")
-    genres = movies.select("movie_id", F.explode(F.split("title", " ")).alias("genre"))
+    genres = movies.select("movie_id", F.explode(split_list(genre_col, sep)).alias("genre"))
     g = per_movie.join(genres, "movie_id").groupBy("genre").agg(
         (F.sum("_s") / F.sum("_n")).alias("_avg"), F.sum("_rows").alias("_n"))
     return g.select("genre", report_line(F.col("genre"), " - AverageRating: ", two_decimals("_avg"),
