@@ -94,6 +94,22 @@ def validate_images(images: DataFrame, width: int | None = None, height: int | N
         "is_valid", F.col("message").startswith("Valid image"))
 
 
+def validate_outputs(expected: DataFrame, images: DataFrame, width: int | None = None,
+                     height: int | None = None, name_col: str = "filename") -> DataFrame:
+    """V2+V3: one message per expected output file, keyed by file name.
+
+    ``expected`` holds the names (``name_col``), ``images`` the image-source
+    rows of the output folder.  A name with no file gets ``File not found:
+    <name>``; a present file gets the image rules of ``validate_images``.
+    """
+    checked = validate_images(images, width, height).withColumn(
+        name_col, F.regexp_extract("path", r"([^/]+)$", 1))
+    joined = expected.select(name_col).join(checked.select(name_col, "message"), name_col, "left")
+    msg = F.coalesce(F.col("message"), F.concat(F.lit(MSG_NOT_FOUND + ": "), F.col(name_col)))
+    return joined.select(name_col, msg.alias("message")).withColumn(
+        "is_valid", F.col("message").startswith("Valid image"))
+
+
 def missing_outputs(expected: DataFrame, actual: DataFrame, key: str, actual_key: str | None = None) -> DataFrame:
     """V3: expected keys with no output (left anti join).
 

@@ -94,3 +94,16 @@ def test_validate_images(spark, tmp_dir):  # V2
     assert out["a_000001.png"] == "Valid image: (4, 5, 4)"
     assert out["b_000001.png"] == "Expected BGRA (4 channels), got 3"
     assert out["c_000001.png"] == "Width mismatch: 6 != 5"
+
+
+def test_validate_outputs_not_found_and_present(spark, tmp_dir):  # V2 + V3
+    from ember.operators.quality import validate_outputs
+
+    write_png(os.path.join(tmp_dir, "cam_000001.png"), np.zeros((4, 5, 4), dtype=np.uint8))
+    write_png(os.path.join(tmp_dir, "cam_000002.png"), np.zeros((4, 5, 3), dtype=np.uint8))
+    expected = spark.createDataFrame([("cam_000001.png",), ("cam_000002.png",), ("cam_000003.png",)],
+                                     "filename string")
+    out = {r["filename"]: r["message"] for r in validate_outputs(expected, SRC.image_rows(spark, tmp_dir)).collect()}
+    assert out == {"cam_000001.png": "Valid image: (4, 5, 4)",
+                   "cam_000002.png": "Expected BGRA (4 channels), got 3",
+                   "cam_000003.png": "File not found: cam_000003.png"}
