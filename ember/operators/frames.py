@@ -250,25 +250,53 @@ def chroma_key_frames(df: DataFrame, keys: Sequence[str] = ("frame_id",)) -> Dat
     return _map_frames(df, keys, FRAME_OUT, run)
 
 
+# Segmenters kept per Python worker process (Spark reuses workers across tasks
+# and micro-batches), keyed by the factory's qualified name.
+_SEGMENTERS: dict[tuple[str, str], object] = {}
+
+
+def _segmenter(make_segmenter, reuse: bool):
+    """(segmenter or None, owned): owned ones are closed by the caller."""
+    if make_segmenter is None:
+        return None, False
+    if not reuse:
+        return make_segmenter(), True
+    key = (getattr(make_segmenter, "__module__", ""), getattr(make_segmenter, "__qualname__", repr(make_segmenter)))
+    seg = _SEGMENTERS.get(key)
+    if seg is None:
+        import atexit
+
+        seg = make_segmenter()  # a failure is not cached: the next partition tries again
+        _SEGMENTERS[key] = seg
+        closer = getattr(seg, "close", None)
+        if callable(closer):
+            atexit.register(closer)
+    return seg, False
+
+
 def segment_frames(
     df: DataFrame,
     make_segmenter: Callable[[], Callable[[np.ndarray], np.ndarray]] | None,
     keys: Sequence[str] = ("frame_id",),
     threshold: float = SEGMENT_THRESHOLD,
+    reuse: bool = True,
 ) -> DataFrame:
-    """Pluggable segmenter, built once per partition, used per frame.
+    """Pluggable segmenter, used per frame.
 
     ``make_segmenter()`` returns ``fn(rgb) -> scores`` (H x W floats) and may
-    carry a ``close()``.  If it cannot be built, or fails on a frame, that
-    frame falls back to the chroma key; the status column says which path
-    ran.  Output frames are BGRA with alpha 0 where the score > threshold.
+    carry a ``close()``.  With ``reuse`` (default) it is built once per Python
+    worker process and kept for later partitions and micro-batches (closed at
+    process exit); with ``reuse=False`` once per partition and closed at its
+    end, as the reference does.  If it cannot be built, or fails on a frame,
+    that frame falls back to the chroma key; the status column says which
+    path ran.  Output frames are BGRA with alpha 0 where the score > threshold.
     """
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seg = None
+        seg, owned = None, False
         try:
-            seg = make_segmenter() if make_segmenter is not None else None
+            seg, owned = _segmenter(make_segmenter, reuse)
         except Exception:  # noqa: BLE001 -- no model: every frame takes the fall-back
             seg = None
         try:
@@ -295,7 +323,7 @@ def segment_frames(
                 yield res
         finally:
             closer = getattr(seg, "close", None)
-            if callable(closer):
+            if owned and callable(closer):
                 closer()
 
     return _map_frames(df, keys, FRAME_OUT, run)

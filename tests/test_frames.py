@@ -179,3 +179,40 @@ def test_frames_from_image_files_any_channel_count(spark, tmp_path):  # S12 -> I
     for r in out.values():
         bgra = np.frombuffer(r["data"], dtype=np.uint8).reshape(32, 32, 4)
         assert np.array_equal(bgra, FR.chroma_key(gs))
+
+
+class CountingSegmenter:
+    """Records every build in a file (builds happen in worker processes)."""
+    log = None
+
+    def __init__(self):
+        with open(CountingSegmenter.log, "a") as f:
+            f.write("built\n")
+
+    def __call__(self, rgb):
+        return np.zeros(rgb.shape[:2])
+
+
+def make_counting_segmenter(log):
+    def make():
+        CountingSegmenter.log = log
+        return CountingSegmenter()
+    return make
+
+
+def test_segmenter_built_once_per_worker_when_reused(spark, tmp_path):  # I9
+    gs = green_screen()
+    df = frames_df(spark, [gs, gs]).coalesce(1)
+    for reuse, runs in ((False, 3), (True, 24)):
+        log = str(tmp_path / f"builds-{reuse}.txt")
+        make = make_counting_segmenter(log)
+        make.__qualname__ = f"counting_{reuse}_{tmp_path.name}"
+        for _ in range(runs):
+            assert {r["status"] for r in FR.segment_frames(df, make, reuse=reuse).collect()} == {"segmented"}
+        builds = open(log).read().count("built")
+        if reuse:
+            # idle workers are handed out in turn; there are at most 2 Python
+            # runners per task x 8 cores, so 24 jobs must reuse built segmenters
+            assert builds <= 16
+        else:
+            assert builds == runs       # once per partition, every job
