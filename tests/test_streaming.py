@@ -181,3 +181,24 @@ def test_processing_time_trigger_runs_until_stopped(spark, tmp_dir):  # W2
         q.stop()
     want = msgs.where(F.col("partition").isin(0, 1)).count()
     assert spark.read.parquet(f"{tmp_dir}/out").count() == want
+
+
+def test_latest_output_last_write_wins_across_batches(spark, tmp_dir):  # W9
+    import numpy as np
+
+    for part, (ts, green) in enumerate([(1000, 255), (2000, 0)]):
+        staged = f"{tmp_dir}/staged/partition={part}"
+        os.makedirs(staged)
+        pk = green_packet("camA", 7)
+        frame = np.zeros((24, 24, 3), dtype=np.uint8)
+        frame[..., 1] = green
+        pk.update(timestamp_ms=ts, frame_data=base64.b64encode(frame.tobytes()).decode())
+        with open(f"{staged}/part-0.json", "w") as f:
+            f.write(json.dumps({"key": "camA", "value": json.dumps(pk)}) + "\n")
+    msgs = S.file_message_source(spark, f"{tmp_dir}/staged", max_files_per_trigger=1)
+    SF.run_frame_stream(spark, msgs, tmp_dir, available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2          # one per batch
+    rows = SF.latest_output(spark, tmp_dir).collect()
+    assert len(rows) == 1 and rows[0]["filename"] == "camA_000007.png" and rows[0]["timestamp_ms"] == 2000
+    alpha = np.frombuffer(rows[0]["data"], dtype=np.uint8).reshape(24, 24, 4)[..., 3]
+    assert alpha.min() == 255                                          # the black frame: nothing keyed out
