@@ -1,10 +1,11 @@
 """The streaming queries: stage messages, run the stream, read the output.
 
-Messages are staged by Spark from ``events`` in the Kafka layout (key =
-camera id, value = JSON, one folder per source partition), then consumed by a
-file stream with a one-file rate cap, decoded with the batch decoder and
-written by the idempotent ``foreachBatch`` writer.  Everything lives in a
-fresh folder under the shared checkpoint directory.
+Messages are staged by Spark from ``events`` (or, for ``frame_stream``, from
+embedding-derived frames) in the Kafka layout (key = camera id, value = JSON,
+one folder per source partition), then consumed by a file stream -- uncapped,
+or one file per trigger where the per-batch counts are the point -- decoded
+with the batch decoder and written by the idempotent ``foreachBatch`` writer.
+Everything lives in a fresh folder under the shared checkpoint directory.
 """
 
 from __future__ import annotations
