@@ -59,3 +59,36 @@ def test_retail_job_from_csv_files(spark, tmp_dir):
     assert a["revenue_by_category"].columns == ["category", "total_revenue_2024"]
     assert sorted(tuple(r) for r in a["top_products"].collect()) == [("p1", 3, 4.0)]
     assert sorted(r[0] for r in a["score_distinct"].collect()) == ["3", "4", "5"]
+
+
+def test_frame_job_wiring_with_a_file_source(spark, tmp_dir, monkeypatch):  # C13 via the job function
+    import base64
+    import json
+
+    import numpy as np
+
+    from ember import streaming as S
+    from ember.plans import jobs
+
+    staged = f"{tmp_dir}/staged/partition=0"
+    os.makedirs(staged)
+    frame = np.zeros((24, 24, 3), dtype=np.uint8)
+    frame[..., 1] = 255
+    pk = {"camera_id": "camA", "timestamp_ms": 1, "frame_number": 3, "width": 24, "height": 24,
+          "encoding": "RAW", "frame_data": base64.b64encode(frame.tobytes()).decode(), "quality": 85}
+    write(f"{staged}/part-0.json", [json.dumps({"key": "camA", "value": json.dumps(pk)})])
+    seen = {}
+
+    def fake_kafka(spark_, servers, topic, **kw):
+        seen.update(servers=servers, topic=topic, **kw)
+        return S.file_message_source(spark_, f"{tmp_dir}/staged")
+
+    monkeypatch.setattr(S, "kafka_source", fake_kafka)
+    q = jobs.start_frame_job(spark, "broker:9092", "frames", f"{tmp_dir}/job", trigger="1 second", min_partitions=4)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert seen == {"servers": "broker:9092", "topic": "frames", "max_offsets_per_trigger": 20, "min_partitions": 4}
+    out = spark.read.parquet(f"{tmp_dir}/job/out").collect()
+    assert [(r["filename"], r["status"]) for r in out] == [("camA_000003.png", "ok")]
