@@ -73,6 +73,11 @@ def gender_avg_long(spark, d):
     return R.mean_by_pair(_ratings(spark, d), TD.users(spark, d), "gender")
 
 
+def gender_avg_long_hot_split(spark, d):
+    """A3 with the explicit hot-key split join (same answer, skew-proof plan)."""
+    return R.mean_by_pair(_ratings(spark, d), TD.users(spark, d), "gender", hot_split=True)
+
+
 def gender_list(spark, d):
     return R.attr_list(_ratings(spark, d), TD.users(spark, d), "gender", "genders")
 
@@ -365,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "genre_explode": genre_explode,
     "genre_stats": genre_stats,
     "gender_avg_long": gender_avg_long,
+    "gender_avg_long_hot_split": gender_avg_long_hot_split,
     "gender_list": gender_list,
     "gender_pivot": gender_pivot,
     "gender_report": gender_report,

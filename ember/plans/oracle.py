@@ -126,6 +126,7 @@ k AS (SELECT * FROM (VALUES (-2,1),(-1,4),(0,6),(1,4),(2,1)) AS t(o, w)),
 bl AS (SELECT a.frame_id, a.y, a.x, (sum(ky.w * kx.w * b.v) + 128) // 256 AS v FROM o2 a CROSS JOIN k ky CROSS JOIN k kx JOIN o2 b ON b.frame_id = a.frame_id AND b.y = (CASE WHEN a.y + ky.o < 0 THEN -(a.y + ky.o) WHEN a.y + ky.o > 7 THEN 14 - (a.y + ky.o) ELSE a.y + ky.o END) AND b.x = (CASE WHEN a.x + kx.o < 0 THEN -(a.x + kx.o) WHEN a.x + kx.o > 7 THEN 14 - (a.x + kx.o) ELSE a.x + kx.o END) GROUP BY 1, 2, 3)
 SELECT * FROM bl)""",
     "segment_alpha": """SELECT frame_id, y, x, CASE WHEN (b + g + r) / 3.0 / 255.0 > 0.1 THEN 0 ELSE 255 END AS alpha FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8)""",
+    "gender_avg_long_hot_split": """SELECT movie_id, gender, round(avg(rating), 2) AS avg_rating FROM ratings r JOIN users u ON r.user_id = u.user_id GROUP BY movie_id, gender""",
     "frame_stream": """SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, CAST(vec_id AS INTEGER) AS frame_number,
   'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename, 'ok' AS status FROM embeddings""",
 }
