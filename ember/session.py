@@ -90,15 +90,15 @@ def build_session(
     return spark
 
 
-def local_test_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_test_session(cores: int | str = "*", shuffle_partitions: int = 8,
+                       conf: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and local benchmarks (``local[N]``)."""
-    return build_session(
-        master=f"local[{cores}]",
-        conf={
-            "spark.sql.shuffle.partitions": str(shuffle_partitions),
-            "spark.driver.memory": os.environ.get("EMBER_DRIVER_MEMORY", "16g"),
-        },
-    )
+    merged = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.driver.memory": os.environ.get("EMBER_DRIVER_MEMORY", "16g"),
+    }
+    merged.update(conf or {})
+    return build_session(master=f"local[{cores}]", conf=merged)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
