@@ -169,7 +169,7 @@ def product_scores(
     item_order_key: str, item_product_key: str, review_order_key: str, score: str, order_key: str,
     product_name: str = "product_id",
 ) -> DataFrame:
-    """Units sold and mean review score per product, best sellers first.
+    """Units sold and mean review score per product (order with ``top_n``).
 
     Same numbers as items JOIN reviews JOIN orders with fan-out (two reviews
     on an order count each item twice, T11), without materialising the
