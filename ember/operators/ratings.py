@@ -1,9 +1,12 @@
 """Rating analytics: mean and count by key, lists, pivots, argmax, by year.
 
-Every aggregate here decomposes into (sum, count), so rating rows are reduced
-by key *before* they meet a dimension table: partial aggregation runs map-side
-(a hot key costs one row per task, not a third of the data in one task) and
-the later join sees one row per key instead of one per rating.
+Every aggregate here decomposes into (sum, count).  Where a dimension is only
+needed after grouping (titles, genres, occupation names) rating rows are
+reduced by key *before* they meet it: partial aggregation runs map-side (a hot
+key costs one row per task, not a third of the data in one task) and the join
+sees one row per key instead of one per rating.  The user-attribute operators
+(gender, age group) must join raw ratings to users first; there AQE's skew
+split handles a hot user, or ``hot_split=True`` the explicit hot-key join.
 """
 
 from __future__ import annotations
