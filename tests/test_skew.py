@@ -75,3 +75,19 @@ def test_aqe_splits_a_hot_user_in_the_default_path(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_key_join_randomized(spark):
+    import random
+
+    rnd = random.Random(5)
+    for _ in range(3):
+        hot = rnd.randint(0, 5)
+        fact = [(hot if rnd.random() < 0.4 else rnd.choice([None] + list(range(40))), i) for i in range(400)]
+        dim = [(k, rnd.randint(0, 9)) for k in range(0, 40, rnd.choice([1, 2]))]
+        dim += [(rnd.randint(0, 40), 99) for _ in range(rnd.randint(0, 5))]        # some keys twice
+        f_df = spark.createDataFrame(fact, "k long, v long")
+        d_df = spark.createDataFrame(dim, "k long, w long")
+        got = sorted(tuple(r) for r in hot_key_join(f_df, d_df, "k", max_hot=5).select("k", "v", "w").collect())
+        want = sorted(tuple(r) for r in f_df.join(d_df, "k").select("k", "v", "w").collect())
+        assert got == want
