@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ember.llm.histogram_sort import shard_by_bytes
+from ember.llm.mixing import mix_sources
+from ember.llm.packing import pack_documents
+from ember.llm.prefix_tokens import count_tokens
 from ember.llm.substring_dedup import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -20,6 +31,31 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents"), window=13).drop("kept_text")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_read(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, cap=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op6_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096)
+
+
+def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_by_bytes(docs, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), length=2048, end_id=1,
+                          with_ids=False)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_prefix_tokens": op6_prefix_tokens,
+    "op9_histogram_sort": op9_histogram_sort,
+    "op10_packing": op10_packing,
 }
