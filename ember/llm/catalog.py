@@ -11,6 +11,7 @@ from ember.llm.histogram_sort import shard_by_bytes
 from ember.llm.mixing import mix_sources
 from ember.llm.packing import pack_documents
 from ember.llm.prefix_tokens import count_tokens
+from ember.llm.setsketch import near_duplicates
 from ember.llm.substring_dedup import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op6_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096)
 
@@ -55,6 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_mixing": op4_mixing,
+    "op5_setsketch": op5_setsketch,
     "op6_prefix_tokens": op6_prefix_tokens,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_packing": op10_packing,
