@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ember.llm.chat import format_conversations, read_back
 from ember.llm.histogram_sort import shard_by_bytes
+from ember.llm.langid import fit, identify
 from ember.llm.mixing import mix_sources
 from ember.llm.packing import pack_documents
 from ember.llm.prefix_tokens import count_tokens
@@ -32,6 +34,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents"), window=13).drop("kept_text")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return identify(docs, fit(docs, docs_per_lang=2000, keep_words=40_000, keep_grams=8_000))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_read(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, cap=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -45,6 +52,18 @@ def op6_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+# A conversation whose texts hold control strings of the template.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations").selectExpr(
+        "cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    path = _tokenizer("byte_bpe_50k.json")
+    return read_back(format_conversations(turns.unionByName(extra), path), path)
+
+
 def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return shard_by_bytes(docs, 24).select(
@@ -59,9 +78,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_language_id": op3_language_id,
     "op4_mixing": op4_mixing,
     "op5_setsketch": op5_setsketch,
     "op6_prefix_tokens": op6_prefix_tokens,
+    "op8_chat_format": op8_chat_format,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_packing": op10_packing,
 }

@@ -27,5 +27,23 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        CAST(len(d.w) - coalesce(kept.n_kept, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.txt, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+""",
+    "op8_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), s AS (
+  SELECT *, len(text) + len(regexp_extract_all(text,
+      '\[\\*(SYS|/SYS|INST|/INST|ASST|ROLE|TEXT|/ROLE)\]|<\\*/s>')) AS escaped,
+    CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 10 ELSE 19 + len(role) END AS marks
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN len(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+       CAST(sum(escaped + marks) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
 """,
 }

@@ -186,6 +186,15 @@ class Encoder:
             bounds = np.r_[0, np.cumsum([len(p) for p in parts])]
         return ids, bounds
 
+    def encode_text(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids without end ids; the strings of added tokens are ordinary text."""
+        if not self.plain:
+            raise ValueError("needs a byte-level tokenizer without normalizer")
+        ids, bounds = self._encode_plain(texts, 0)
+        keep = np.ones(len(ids), bool)
+        keep[bounds[1:] - 1] = False
+        return ids[keep], bounds - np.arange(len(bounds))
+
     def _encode_plain(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         joined = "\0".join(texts) + "\0"
         raw = joined.encode("utf-32-le")
@@ -199,7 +208,7 @@ class Encoder:
             self._fresh()
         key = K.span_hashes(raw + b"\0" * 8, starts * 4, ends * 4)
         is_end = kind[starts] == END
-        key[is_end] = 0
+        key[is_end] = end_id + 1                  # word hashes do not meet such small values
         uniq, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         row = self.cache.find(uniq)
         missing = np.flatnonzero(row < 0)
