@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ember.llm.bitsliced import top_k_products
 from ember.llm.chat import format_conversations, read_back
 from ember.llm.histogram_sort import shard_by_bytes
+from ember.llm.kmeans_tree import nearest
 from ember.llm.langid import fit, identify
 from ember.llm.mixing import mix_sources
 from ember.llm.packing import pack_documents
@@ -34,6 +36,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents"), window=13).drop("kept_text")
 
 
+def op2_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_products(_read(spark, sf_dir, "embeddings"), k=20)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return identify(docs, fit(docs, docs_per_lang=2000, keep_words=40_000, keep_grams=8_000))
@@ -52,6 +58,10 @@ def op6_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_read(spark, sf_dir, "embeddings"), k=20)
+
+
 # A conversation whose texts hold control strings of the template.
 CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -78,10 +88,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_bit_sliced": op2_bit_sliced,
     "op3_language_id": op3_language_id,
     "op4_mixing": op4_mixing,
     "op5_setsketch": op5_setsketch,
     "op6_prefix_tokens": op6_prefix_tokens,
+    "op7_kmeans_tree": op7_kmeans_tree,
     "op8_chat_format": op8_chat_format,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_packing": op10_packing,

@@ -27,6 +27,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        CAST(len(d.w) - coalesce(kept.n_kept, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.txt, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+""",
+    "op2_bit_sliced": r"""
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), long AS (
+  SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS d FROM q
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM long a JOIN long b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 GROUP BY 1, 2
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """,
     "op8_chat_format": r"""
 WITH t AS (
