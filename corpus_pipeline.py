@@ -1,15 +1,112 @@
-"""Corpus pipeline over ``documents``: the stages are added with their operators."""
+"""Corpus pipeline over ``documents``: identify, dedup, cut repeats, mix, pack.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir),
+where ``docs`` has the columns of ``documents``, and all but the last return
+those columns.  ``run`` writes every stage's result to the shared folder of
+``spark.checkpoint.dir`` and reads it back as the next one's input, so a lost
+executor costs no more than the stage it was working for.
+
+Defined cases, for every stage: null and empty texts, null labels and
+sources, repeated rows, empty tables and extra columns are carried or dropped
+as the stage's docstring says; none fails.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ember.llm.langid import UNDETERMINED, fit, identify
+from ember.llm.mixing import mix_sources
+from ember.llm.packing import pack_documents
+from ember.llm.setsketch import near_duplicates
+from ember.llm.staging import staged
+from ember.llm.substring_dedup import substring_dedup
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHINGLE, PERCENT = 5, 80
+WINDOW = 40                    # words that must repeat before a passage is cut
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def _by_id(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``found``, which has one row an id; null ids match each other."""
+    return docs.alias("d").join(found.withColumnRenamed("doc_id", "found_id"), F.expr("d.doc_id <=> found_id"), "left").drop("found_id")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is identified and fill in missing labels.
+
+    Null texts and texts without a letter are undetermined and go; without any
+    labelled row nothing can be learned and nothing is rejected.
+    """
+    docs = docs.select(COLUMNS)
+    model = fit(docs)
+    if not model.langs:
+        return docs
+    return identify(docs, model).filter(F.col("lang_pred") != UNDETERMINED).withColumn(
+        "lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of every near-duplicate group.
+
+    Rows with a null id stay; rows equal in every column are one document.
+    """
+    docs = docs.select(COLUMNS)
+    found = near_duplicates(docs, shingle=SHINGLE, percent=PERCENT).filter("NOT kept").select(
+        "doc_id").distinct().withColumn("copy", F.lit(True))
+    return _by_id(docs, found).filter(F.col("copy").isNull()).select(COLUMNS).dropDuplicates()
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of ``WINDOW`` words that an earlier document holds; a document of which nothing is left goes.
+
+    Texts that lose nothing are kept byte for byte; a cut text is its kept words joined by spaces.
+    """
+    docs = docs.select(COLUMNS)
+    cut = substring_dedup(docs, window=WINDOW).filter("n_removed > 0").select(
+        F.col("doc_id"), "kept_text", "n_words", "n_removed").dropDuplicates(["doc_id"])
+    joined = _by_id(docs, cut)
+    some = F.col("n_removed").isNotNull()
+    text = F.when(some, F.col("kept_text")).otherwise(F.col("text"))
+    return joined.filter(~some | (F.col("n_removed") < F.col("n_words"))).withColumn("text", text).withColumn(
+        "n_chars", F.when(some, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat every document as often as the mix takes it (0 to 2 times).
+
+    Rows that share an id, a source and a size are taken alike, as often as the one taken most.
+    """
+    docs = docs.select(COLUMNS)
+    taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).groupBy(
+        "doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    return (_by_id(docs, taken).filter(F.col("copies").isNotNull())
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(COLUMNS))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of every document and their places in sequences of 2048 ids."""
+    import public_tokenizers
+
+    return pack_documents(docs.select(COLUMNS), public_tokenizers.path(TOKENIZER), length=2048, end_id=1, with_ids=False)
+
+
+STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("cut_repeats", cut_repeats),
+    ("mix", mix),
+    ("pack", pack),
+]
 
-STAGES: list = []
+# SQL cannot express the classifier, the sketches or the tokenizer: tests hold the pipeline to a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

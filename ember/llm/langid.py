@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ember.llm import textkit as K
 from ember.session import ship_package
@@ -191,19 +192,21 @@ def fit(docs: DataFrame, *, docs_per_lang: int = 2000, keep_words: int = 40_000,
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row of ``docs(doc_id, text)``."""
+    """``docs`` with held_out, lang_pred and score; input columns of these names are replaced."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    def predict(batches):
-        for batch in batches:
-            for part in K.byte_slices(batch, "text"):
-                lang, score = shared.value.predict(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
-                    names=["doc_id", "held_out", "lang_pred", "score"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       held_out().alias("held_out"))
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    @F.arrow_udf(StructType([StructField("lang", StringType()), StructField("score", DoubleType())]))
+    def predicted(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], names=["text"])
+        lang, score = [], [np.zeros(0)]
+        for part in K.byte_slices(batch, "text"):
+            one, odds = shared.value.predict(part.column("text").to_pylist())
+            lang += one
+            score.append(odds)
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(np.concatenate(score))], ["lang", "score"])
+
+    found = docs.withColumn("_found", predicted(F.col("text").cast("string")))
+    return found.withColumns({"held_out": held_out(), "lang_pred": F.col("_found.lang"),
+                              "score": F.col("_found.score")}).drop("_found")

@@ -30,8 +30,8 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """,
     "op2_bit_sliced": r"""
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), long AS (
   SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS d FROM q
 ), s AS (

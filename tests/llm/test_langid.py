@@ -96,6 +96,6 @@ def test_edges(spark):
     assert by[4] == by[5] == by[6] == ("und", 0.0)
     assert by[7][0] == by[9][0] == by[None][0] == "en" and by[3][0] == "fr"
     none = spark.createDataFrame([(1, "a b", None)], SCHEMA)
-    assert [tuple(r)[2:] for r in identify(none, fit(none)).collect()] == [("und", 0.0)]
+    assert [tuple(r) for r in identify(none, fit(none)).select("lang_pred", "score").collect()] == [("und", 0.0)]
     empty = spark.createDataFrame([], SCHEMA)
     assert identify(empty, fit(empty)).collect() == []
