@@ -76,14 +76,6 @@ def epoch_seconds_to_year(seconds: Column | str) -> Column:
     return F.year(F.timestamp_seconds(_c(seconds))).cast("bigint")
 
 
-def year_of(ts: Column | str) -> Column:
-    return F.year(_c(ts)).cast("bigint")
-
-
-def month_of(ts: Column | str) -> Column:
-    return F.month(_c(ts)).cast("bigint")
-
-
 def epoch_millis(ts: Column | str, ntz: bool = True) -> Column:
     """Whole milliseconds since the epoch (truncated).
 
@@ -117,19 +109,11 @@ def to_int(text: Column | str) -> Column:
     return _c(text).try_cast("int")
 
 
-def to_double(text: Column | str) -> Column:
-    return _c(text).try_cast("double")
-
-
 def money(x: Column | str) -> Column:
     """Money as DECIMAL(18,2) so sums do not depend on shuffle order."""
     return _c(x).cast("decimal(18,2)")
 
 
-def money_sum_as_double(x: Column | str) -> Column:
-    return F.sum(money(x)).cast("double")
-
-
 def frame_filename(camera_id: Column | str, frame_number: Column | str) -> Column:
     """``{camera}_{frame:06d}.png``; seven-digit numbers are kept whole."""
     return F.format_string(FRAME_FILENAME_FORMAT, _c(camera_id), _c(frame_number))
@@ -145,8 +129,14 @@ def b64encode_text(text: Column | str) -> Column:
 
 
 def b64decode(text: Column | str) -> Column:
-    """Lenient decode, as the consumer does; see ``is_valid_base64``."""
-    return F.unbase64(_c(text))
+    """Lenient decode, as the consumer does; NULL where ``is_valid_base64`` says no, never an error.
+
+    Foreign characters are skipped; data ends at the padding.
+    """
+    raw = _c(text)
+    data = F.regexp_extract(F.regexp_replace(raw, f"[^{_B64_ALPHABET}=]", ""), "^=*([^=]*)", 1)
+    strict = F.try_to_binary(raw, F.lit("base64"))
+    return F.when(is_valid_base64(raw), F.coalesce(strict, F.try_to_binary(data, F.lit("base64"))))
 
 
 _B64_ALPHABET = "A-Za-z0-9+/"

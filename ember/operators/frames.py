@@ -127,10 +127,17 @@ def chroma_key(bgr: np.ndarray, lower=GREEN_LOWER, upper=GREEN_UPPER) -> np.ndar
     try:
         mask = hsv_in_range(bgr, lower, upper)
         mask = gaussian_blur5(open_(close(mask)))
-        alpha = (255 - mask.astype(np.int64)).astype(np.uint8)
+        alpha = np.uint8(255) - mask
     except Exception:  # noqa: BLE001 -- the reference's fall-back: opaque frame
         alpha = np.full(bgr.shape[:2], 255, dtype=np.uint8)
-    return np.dstack([bgr.astype(np.uint8), alpha])
+    return _with_alpha(bgr, alpha)
+
+
+def _with_alpha(bgr: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+    out = np.empty((*bgr.shape[:2], 4), dtype=np.uint8)
+    out[..., :3] = bgr
+    out[..., 3] = alpha
+    return out
 
 
 def bgr_to_rgb(frame: np.ndarray) -> np.ndarray:
@@ -151,7 +158,11 @@ FRAME_OUT = "height int, width int, nChannels int, data binary, status string"
 
 
 def _frame(data: bytes, h: int, w: int, c: int) -> np.ndarray | None:
-    if data is None or h is None or w is None or h <= 0 or w <= 0 or len(data) != h * w * c:
+    # One NULL size turns the whole pandas column into floats: sizes are read row by row.
+    if data is None or pd.isna(h) or pd.isna(w):
+        return None
+    h, w = int(h), int(w)
+    if h <= 0 or w <= 0 or len(data) != h * w * c:
         return None
     return np.frombuffer(data, dtype=np.uint8).reshape(h, w, c) if c > 1 else \
         np.frombuffer(data, dtype=np.uint8).reshape(h, w)
@@ -176,6 +187,11 @@ def _bgr_frames(pdf: pd.DataFrame):
             yield f[..., :3]
 
 
+def _sizes(pdf: pd.DataFrame) -> tuple[pd.Series, pd.Series]:
+    """Frame sizes as nullable integers."""
+    return pdf["height"].astype("Int32"), pdf["width"].astype("Int32")
+
+
 def _map_frames(df: DataFrame, keys: Sequence[str], out_schema: str,
                 per_partition: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> DataFrame:
     from ember.session import ship_package
@@ -197,7 +213,7 @@ def map_masks(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], keys: Seque
                 m = _frame(data, h, w, 1)
                 out.append(None if m is None else fn(m).astype(np.uint8).tobytes())
             res = pdf[keys].copy()
-            res["height"], res["width"] = pdf["height"], pdf["width"]
+            res["height"], res["width"] = _sizes(pdf)
             res["nChannels"] = 1
             res["data"] = out
             res["status"] = ["ok" if d is not None else "undecodable" for d in out]
@@ -216,7 +232,7 @@ def chroma_mask(df: DataFrame, keys: Sequence[str] = ("frame_id",), lower=GREEN_
             for bgr in _bgr_frames(pdf):
                 out.append(None if bgr is None else hsv_in_range(bgr, lower, upper).tobytes())
             res = pdf[keys].copy()
-            res["height"], res["width"], res["nChannels"] = pdf["height"], pdf["width"], 1
+            (res["height"], res["width"]), res["nChannels"] = _sizes(pdf), 1
             res["data"] = out
             res["status"] = ["ok" if d is not None else "undecodable" for d in out]
             yield res
@@ -243,7 +259,7 @@ def chroma_key_frames(df: DataFrame, keys: Sequence[str] = ("frame_id",)) -> Dat
                     out.append(chroma_key(bgr).tobytes())
                     status.append("ok")
             res = pdf[keys].copy()
-            res["height"], res["width"], res["nChannels"] = pdf["height"], pdf["width"], 4
+            (res["height"], res["width"]), res["nChannels"] = _sizes(pdf), 4
             res["data"], res["status"] = out, status
             yield res
 
@@ -251,17 +267,25 @@ def chroma_key_frames(df: DataFrame, keys: Sequence[str] = ("frame_id",)) -> Dat
 
 
 # Segmenters kept per Python worker process (Spark reuses workers across tasks
-# and micro-batches), keyed by the factory's qualified name.
+# and micro-batches), keyed by the caller's model key and the pickled factory,
+# so closures or partials over other values never share a model.
 _SEGMENTERS: dict[tuple[str, str], object] = {}
 
 
-def _segmenter(make_segmenter, reuse: bool):
+def _segmenter_key(make_segmenter, model_key: str) -> tuple[str, str]:
+    import hashlib
+
+    from pyspark import cloudpickle
+
+    return model_key, hashlib.sha256(cloudpickle.dumps(make_segmenter)).hexdigest()
+
+
+def _segmenter(make_segmenter, key: tuple[str, str] | None):
     """(segmenter or None, owned): owned ones are closed by the caller."""
     if make_segmenter is None:
         return None, False
-    if not reuse:
+    if key is None:
         return make_segmenter(), True
-    key = (getattr(make_segmenter, "__module__", ""), getattr(make_segmenter, "__qualname__", repr(make_segmenter)))
     seg = _SEGMENTERS.get(key)
     if seg is None:
         import atexit
@@ -280,23 +304,25 @@ def segment_frames(
     keys: Sequence[str] = ("frame_id",),
     threshold: float = SEGMENT_THRESHOLD,
     reuse: bool = True,
+    model_key: str = "",
 ) -> DataFrame:
     """Pluggable segmenter, used per frame.
 
     ``make_segmenter()`` returns ``fn(rgb) -> scores`` (H x W floats) and may
     carry a ``close()``.  With ``reuse`` (default) it is built once per Python
     worker process and kept for later partitions and micro-batches (closed at
-    process exit); with ``reuse=False`` once per partition and closed at its
+    process exit), one for each ``model_key`` and pickled factory; with ``reuse=False`` once per partition and closed at its
     end, as the reference does.  If it cannot be built, or fails on a frame,
     that frame falls back to the chroma key; the status column says which
     path ran.  Output frames are BGRA with alpha 0 where the score > threshold.
     """
     keys = list(keys)
+    key = _segmenter_key(make_segmenter, model_key) if reuse and make_segmenter is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seg, owned = None, False
         try:
-            seg, owned = _segmenter(make_segmenter, reuse)
+            seg, owned = _segmenter(make_segmenter, key)
         except Exception:  # noqa: BLE001 -- no model: every frame takes the fall-back
             seg = None
         try:
@@ -310,15 +336,15 @@ def segment_frames(
                     try:
                         if seg is None:
                             raise RuntimeError("no segmenter")
-                        scores = np.asarray(seg(bgr_to_rgb(bgr)), dtype=np.float64).reshape(h, w)
-                        bgra = np.dstack([bgr, alpha_from_scores(scores, threshold)])
+                        scores = np.asarray(seg(bgr_to_rgb(bgr)), dtype=np.float64).reshape(int(h), int(w))
+                        bgra = _with_alpha(bgr, alpha_from_scores(scores, threshold))
                         status.append("segmented")
                     except Exception:  # noqa: BLE001 -- per-frame fall-back
                         bgra = chroma_key(bgr)
                         status.append("chroma_key")
                     out.append(bgra.tobytes())
                 res = pdf[keys].copy()
-                res["height"], res["width"], res["nChannels"] = pdf["height"], pdf["width"], 4
+                (res["height"], res["width"]), res["nChannels"] = _sizes(pdf), 4
                 res["data"], res["status"] = out, status
                 yield res
         finally:

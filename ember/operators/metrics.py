@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ember.functions import epoch_millis, money, octets
+from ember.functions import epoch_millis, octets
 
 
 def throughput_by(df: DataFrame, key: str, ts_col: str, out_key: str = "camera_id", ntz: bool = True,
@@ -24,18 +24,23 @@ def throughput_by(df: DataFrame, key: str, ts_col: str, out_key: str = "camera_i
     return g.select(out_key, "frames", F.round(fps, digits).alias("fps"))
 
 
+def _exact(value: str):
+    """A latency with ten decimals, so that sums do not depend on the order of rows."""
+    return F.col(value).cast("decimal(28,10)")
+
+
 def latency_summary(df: DataFrame, stage: str, value: str, digits: int = 4) -> DataFrame:
     """Min / max / mean latency per stage (mean from an exact decimal sum)."""
     return df.groupBy(F.col(stage).alias("stage")).agg(
         F.min(value).alias("min_ms"),
         F.max(value).alias("max_ms"),
-        F.round(F.sum(money(value)).cast("double") / F.count(F.lit(1)), digits).alias("avg_ms"),
+        F.round(F.sum(_exact(value)).cast("double") / F.count(F.lit(1)), digits).alias("avg_ms"),
     )
 
 
 def total_latency(df: DataFrame, frame_key: str, value: str, digits: int = 4) -> DataFrame:
     """Mean over frames of the per-frame total of all stages."""
-    per_frame = df.groupBy(frame_key).agg(F.sum(money(value)).alias("_t"))
+    per_frame = df.groupBy(frame_key).agg(F.sum(_exact(value)).alias("_t"))
     return per_frame.agg(
         F.round(F.sum("_t").cast("double") / F.count(F.lit(1)), digits).alias("avg_total_ms"))
 

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ember.functions import b64encode, frame_filename, iso_time, now_millis
+from ember.functions import b64encode, iso_time, now_millis
 from ember.schemas import PACKET_CONSUMER, PACKET_FULL
 
+# Spark's JSON reader stops at 20 million characters a string unless told otherwise.
+ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
+
 PACKET_ORDER = [f.name for f in PACKET_FULL.fields]
 
 
@@ -40,17 +43,28 @@ def decode_packets(
 ) -> DataFrame:
     """Message value (binary or text) -> packet columns.
 
-    Shared by batch and stream.  Only the fields of ``schema`` are parsed
-    (the consumer reads 4 of 9).  Malformed JSON gives an all-NULL row; with
-    ``corrupt_col`` the raw text is kept there for dead-letter routing (T18).
+    Shared by batch and stream; one parse, of any length (a raw frame is tens
+    of millions of characters), and only the fields of ``schema`` (the
+    consumer reads 4 of 9).  A value that is no JSON object gives an all-NULL
+    row; with ``corrupt_col`` its raw text is kept there for dead-letter
+    routing and ``<corrupt_col>_reason`` says why (NULL for a good packet):
+    ``no value``, ``not an object`` or ``malformed``.  A field of another type
+    is NULL in an otherwise good packet (T18).
     """
     text = F.col(value_col).cast("string")
-    parsed = df.select(*keep, text.alias("_raw"), F.from_json(text, schema).alias("_data"))
+    bad = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = df.select(*keep, text.alias("_raw"), F.from_json(
+        text, bad, {**ANY_LENGTH, "columnNameOfCorruptRecord": "_bad"}).alias("_data"))
     out = parsed.select(*keep, "_raw", "_data.*")
     if corrupt_col:
-        ok = F.col("_raw").isNotNull() & F.try_parse_json(F.col("_raw")).isNotNull()
-        out = out.withColumn(corrupt_col, F.when(~ok, F.col("_raw")))
-    return out.drop("_raw")
+        nothing = F.coalesce(*[F.col(f.name).cast("string") if not isinstance(f.dataType, T.StructType)
+                               else F.to_json(f.name) for f in schema.fields]).isNull()
+        reason = (F.when(F.col("_raw").isNull(), "no value")
+                  .when(~F.col("_raw").rlike(r"^\s*\{"), "not an object")
+                  .when(F.col("_bad").isNotNull() & nothing, "malformed"))
+        out = out.withColumn(f"{corrupt_col}_reason", reason).withColumn(
+            corrupt_col, F.when(F.col(f"{corrupt_col}_reason").isNotNull(), F.col("_raw")))
+    return out.drop("_raw", "_bad")
 
 
 def latest_frames(df: DataFrame, keys=("camera_id", "frame_number"), order=("ts", "event_id"),
@@ -63,12 +77,6 @@ def latest_frames(df: DataFrame, keys=("camera_id", "frame_number"), order=("ts"
     return df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(value))
 
 
-def with_filename(df: DataFrame, camera_col: str = "camera_id", frame_col: str = "frame_number",
-                  out: str = "filename") -> DataFrame:
-    """Output file name per frame."""
-    return df.withColumn(out, frame_filename(camera_col, frame_col))
-
-
 # Fixed values of the producer's packet.
 PACKET_SOURCE = "camera_simulation"
 DEFAULT_QUALITY = 85
@@ -100,13 +108,10 @@ def frames_to_packets(frames: DataFrame, *, encoding: str = "RAW", quality: int
 
 
 def in_camera_order(df: DataFrame, camera_col: str = "camera_id", frame_col: str = "frame_number") -> DataFrame:
-    """Each camera's frames in one partition, in frame order.
-
-    The message key keeps a camera in one Kafka partition; in Spark the same
-    guarantee is a hash partitioning on the camera plus a sort inside each
-    partition (no global sort, no single task for all cameras).  As with a
-    Kafka partition, one camera's frames are never split, so a camera with a
-    third of all frames fills a third of one task: use this only where the
-    per-camera order is the point.
+    """Each camera's frames in frame order over consecutive partitions.
+
+    A range partitioning on (camera, frame) keeps the order a Kafka partition
+    would give, and cuts a camera with a third of all frames over many tasks:
+    reading the partitions in order gives every camera's frames in order.
     """
-    return df.repartition(F.col(camera_col)).sortWithinPartitions(camera_col, frame_col)
+    return df.repartitionByRange(camera_col, frame_col).sortWithinPartitions(camera_col, frame_col)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ember.functions import is_valid_base64
+from ember.operators.packets import ANY_LENGTH
 from ember.schemas import REQUIRED_PACKET_FIELDS
 
 # The validator's messages, as the reference words them.
@@ -23,31 +24,30 @@ _NUMERIC_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+
 
 
 def _packet_fields(value: Column) -> list[Column]:
-    """Stage 1 of V1: parse once; the keys and the typed fields the rules read."""
-    v = F.try_parse_json(value)
+    """Stage 2 of V1: the keys and the typed fields the rules read, from the parsed map."""
 
     def kind(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+        return F.schema_of_variant(F.element_at(value, F.lit(name)))
 
     def num(name: str) -> Column:
         """The field as a number; NULL for text, objects, booleans or null."""
-        return F.when(kind(name).rlike(_NUMERIC_VARIANT), F.try_variant_get(v, f"$.{name}", "double"))
+        return F.when(kind(name).rlike(_NUMERIC_VARIANT), F.try_variant_get(F.element_at(value, F.lit(name)), "$", "double"))
 
     return [
-        v.isNotNull().alias("_parsed"),
-        F.json_object_keys(value).alias("_keys"),
+        F.map_keys(value).alias("_keys"),
         kind("timestamp_ms").alias("_ts_kind"),
         num("quality").alias("_quality"),
         num("width").alias("_width"),
         num("height").alias("_height"),
-        F.when(kind("frame_data") == "STRING", F.try_variant_get(v, "$.frame_data", "string")).alias("_frame"),
+        F.when(kind("frame_data") == "STRING",
+               F.try_variant_get(F.element_at(value, F.lit("frame_data")), "$", "string")).alias("_frame"),
     ]
 
 
 def _packet_rule_message() -> Column:
-    """Stage 2 of V1: the first failing rule's message over the stage-1 columns."""
+    """Stage 3 of V1: the first failing rule's message over the stage-1 columns."""
     keys = F.col("_keys")
-    expr = F.when(~F.col("_parsed") | keys.isNull(), F.lit(MSG_MISSING + REQUIRED_PACKET_FIELDS[0]))
+    expr = F.when(keys.isNull(), F.lit(MSG_MISSING + REQUIRED_PACKET_FIELDS[0]))
     for name in REQUIRED_PACKET_FIELDS:
         expr = expr.when(~F.array_contains(keys, name), F.lit(MSG_MISSING + name))
     return (
@@ -67,10 +67,11 @@ def validate_packets(df: DataFrame, value_col: str = "value", keep: tuple[str, .
     a field present with a NULL value fails the rule that reads it), an
     integer ``timestamp_ms`` (told apart from "123" or 1.5 by the variant
     type), quality 0-100, positive width and height, and base64 text a lenient
-    decoder accepts.  The JSON is parsed once, in its own projection, so the
-    rules read columns rather than re-parsing inside each branch.
+    decoder accepts.  The JSON is parsed once, whatever its length, into a map
+    of typed values in its own projection; the rules read that.
     """
-    fields = df.select(*keep, *_packet_fields(F.col(value_col)))
+    parsed = df.select(*keep, F.from_json(F.col(value_col).cast("string"), "map<string,variant>", ANY_LENGTH).alias("_map"))
+    fields = parsed.select(*keep, *_packet_fields(F.col("_map")))
     return fields.select(*keep, _packet_rule_message().alias("message")).withColumn(
         "is_valid", F.col("message") == MSG_VALID)
 

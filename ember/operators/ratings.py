@@ -126,7 +126,7 @@ def with_user_attr(ratings: DataFrame, users: DataFrame, attr: str, hot_split: b
     Raw ratings meet the user table here, so a user with a large share of the
     ratings is a hot join key.  By default AQE's skew-join split handles it at
     run time (no extra pass); ``hot_split=True`` uses ``hot_key_join``, which
-    broadcasts the bounded set of hot users' rows (an extra counting pass).
+    salts the bounded set of hot users (an extra counting pass).
     """
     dim = users.select("user_id", attr)
     if hot_split:

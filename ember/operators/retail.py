@@ -160,7 +160,7 @@ def revenue_by_category(
     return (
         per_product.join(cats, "_pk")
         .groupBy("category").agg(F.sum("_v").cast("double").alias(name))
-        .orderBy(F.desc(name))
+        .orderBy(F.desc(name), "category")
     )
 
 

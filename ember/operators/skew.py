@@ -3,10 +3,9 @@
 AQE already splits an oversized shuffle partition of a sort-merge join at run
 time.  ``hot_key_join`` is for plans where that is not enough or not on: keys
 holding at least ``1 / max_hot`` of the rows are found with one aggregated
-count (partial aggregation, so the hot key itself costs one row per task), the
-dimension rows of those keys are broadcast -- at most ``max_hot`` keys, a
-bound that does not grow with the data -- and the hot fact rows join that
-broadcast map-side; all other rows take the normal shuffled join.
+count (partial aggregation, so the hot key itself costs one row per task) and
+salted: fact rows of a hot key are spread over ``salts`` values, and its
+dimension rows are repeated once for each.  One join then serves all keys.
 """
 
 from __future__ import annotations
@@ -22,25 +21,19 @@ def hot_keys(fact: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
     return counts.where(F.col("_n") * F.lit(max_hot) >= total).select(key)
 
 
-def hot_key_join(fact: DataFrame, dim: DataFrame, key: str, max_hot: int = 1000,
-                 max_dim_rows_per_key: int = 1) -> DataFrame:
-    """Inner equi-join ``fact JOIN dim USING (key)`` with hot keys split off.
+def hot_key_join(fact: DataFrame, dim: DataFrame, key: str, max_hot: int = 1000, salts: int = 64) -> DataFrame:
+    """Inner equi-join ``fact JOIN dim USING (key)`` with hot keys spread over ``salts`` tasks.
 
-    Same rows as the plain join.  The broadcasts hold at most ``max_hot``
-    keys and their dimension rows, at most ``max_dim_rows_per_key`` each (1
-    for a dimension with a unique key); a hot key with more dimension rows
-    than that stays on the shuffled path, so the bound holds whatever the
-    data.  A hot key absent from ``dim`` takes the broadcast path too and is
-    dropped map-side instead of filling one shuffle partition.
+    Same rows as the plain join, whatever the number of dimension rows a key
+    has.  The hot keys are the only thing collected: at most ``max_hot``.
+    The salt is a hash of the fact row, so a retried task deals rows alike.
     """
-    hot = hot_keys(fact, key, max_hot)                                   # <= max_hot rows
-    dim_hot = dim.join(F.broadcast(hot), key, "left_semi")               # map-side filter
-    too_many = dim_hot.groupBy(key).agg(F.count(F.lit(1)).alias("_d")).where(
-        F.col("_d") > max_dim_rows_per_key).select(key)
-    hot_ok = hot.join(too_many, key, "left_anti")                        # <= max_hot rows
-    hot_dim = dim_hot.join(F.broadcast(hot_ok), key, "left_semi")        # <= max_hot * rows per key
-
-    flagged = fact.join(F.broadcast(hot_ok.withColumn("_hot", F.lit(True))), key, "left")
-    cold = flagged.where(F.col("_hot").isNull()).drop("_hot").join(dim, key)
-    hot_rows = flagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_dim), key)
-    return cold.unionByName(hot_rows)
+    keys = [r[0] for r in hot_keys(fact.select(key), key, max_hot).collect() if r[0] is not None]
+    if not keys:
+        return fact.join(dim, key)
+    hot = F.col(key).isin(keys)
+    rest = [c for c in fact.columns if c != key] or [key]
+    dealt = fact.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0))
+    spread = dim.withColumn("_salt", F.explode(
+        F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(spread, [key, "_salt"]).drop("_salt")

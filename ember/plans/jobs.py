@@ -114,12 +114,16 @@ def retail_answers(
 def start_frame_job(
     spark: SparkSession, servers: str, topic: str, root: str, *,
     make_segmenter: Callable | None = None, trigger: str = S.DEFAULT_TRIGGER,
-    max_offsets_per_trigger: int | None = S.DEFAULT_MAX_PER_TRIGGER, min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
 ):
     """C13 on Kafka: packets -> background removal -> ``root/out|dead|counts``,
-    checkpoint in ``root/checkpoint``; returns the running query."""
+    checkpoint in ``root/checkpoint``; returns the running query.
+
+    ``min_partitions`` defaults to the session's parallelism, so a topic
+    partition with one busy camera is read by several tasks.
+    """
     msgs = S.kafka_source(spark, servers, topic, max_offsets_per_trigger=max_offsets_per_trigger,
-                          min_partitions=min_partitions)
+                          min_partitions=min_partitions or spark.sparkContext.defaultParallelism)
     msgs = msgs.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
                        "partition")
     return SF.run_frame_stream(spark, msgs, root, make_segmenter=make_segmenter, trigger=trigger)

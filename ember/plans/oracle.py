@@ -93,8 +93,8 @@ JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey ORDER BY total_sold DE
     "frame_count_check": """SELECT event_type AS camera_id, count(*) AS frames, count(*) = 2000 AS ok FROM events GROUP BY 1""",
     "camera_throughput": """SELECT event_type AS camera_id, count(*) AS frames,
   round(count(*) * CAST(1000 AS DOUBLE) / (epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000), 6) AS fps FROM events GROUP BY 1""",
-    "stage_latency": """SELECT event_type AS stage, min(value) AS min_ms, max(value) AS max_ms, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS avg_ms FROM events GROUP BY 1""",
-    "frame_total_latency": """SELECT round(CAST(sum(t) AS DOUBLE) / count(*), 4) AS avg_total_ms FROM (SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS t FROM events GROUP BY user_id)""",
+    "stage_latency": """SELECT event_type AS stage, min(value) AS min_ms, max(value) AS max_ms, round(CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(*), 4) AS avg_ms FROM events GROUP BY 1""",
+    "frame_total_latency": """SELECT round(CAST(sum(t) AS DOUBLE) / count(*), 4) AS avg_total_ms FROM (SELECT user_id, sum(CAST(value AS DECIMAL(28,10))) AS t FROM events GROUP BY user_id)""",
     "latency_histogram": """SELECT event_type AS stage, count(CASE WHEN value <= 1 THEN 1 END) AS le_1, count(CASE WHEN value <= 10 THEN 1 END) AS le_10, count(CASE WHEN value <= 50 THEN 1 END) AS le_50, count(CASE WHEN value <= 100 THEN 1 END) AS le_100, count(*) AS le_inf FROM events GROUP BY 1""",
     "message_volume": """SELECT count(*) AS total_messages, round(CAST(sum(octet_length(encode(text))) AS DOUBLE) / 1048576, 6) AS total_mb FROM documents""",
     "alpha_threshold": """SELECT frame_id, y, x, 255 - v AS alpha FROM mask8""",

@@ -21,8 +21,10 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Spark 4.1 wraps base64 output every 76 characters unless told not to.
     "spark.sql.chunkBase64String.enabled": "false",
-    # A 640x480 BGR frame is ~0.9 MB: keep Arrow batches of frames bounded.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    # A hot join key is split even where an aggregation above relies on the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Arrow batches are bounded by bytes: many small rows or a few VGA frames.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Worker-side numpy must not oversubscribe executor cores.
@@ -36,8 +38,7 @@ MiB = 1 << 20
 GiB = 1 << 30
 
 
-def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition_bytes: int = 256 * MiB,
-                 max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition_bytes: int = 256 * MiB) -> dict[str, str]:
     """Sizing for a large run: shuffle partitions from the input size.
 
     Each shuffle starts with about one partition per ``target_partition_bytes``
@@ -48,7 +49,6 @@ def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition
     parts = max(200, -(-input_bytes // target_partition_bytes))
     if cores:
         parts = max(parts, 2 * cores)
-    parts = min(parts, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

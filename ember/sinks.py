@@ -15,19 +15,24 @@ def write_frames(df: DataFrame, path: str, *, mode: str = "append") -> None:
     Spark has no per-row image writer; one Parquet dataset replaces one file
     per frame, stays on shared storage, and is pruned by ``camera_id``.
     Rows with the same name in one write are reduced to the last one
-    (``max_by`` on the optional ``timestamp_ms``), so a replayed frame
+    (by the optional ``timestamp_ms``, then the bytes), so a replayed frame
     replaces, not duplicates (W9).
     """
     named = df.withColumn("filename", frame_filename("camera_id", "frame_number"))
     if "timestamp_ms" in named.columns:
-        cols = [c for c in named.columns if c not in ("camera_id", "filename")]
-        latest = named.groupBy("camera_id", "filename").agg(
-            F.max_by(F.struct(*cols), F.col("timestamp_ms")).alias("_r"))
-        named = latest.select("camera_id", "filename", "_r.*")
+        named = last_writes(named.withColumn("_digest", F.xxhash64("data")), ("camera_id", "filename"),
+                            ("timestamp_ms", "_digest")).drop("_digest")
     named.write.mode(mode).partitionBy("camera_id").parquet(path)
 
 
-def show_rows(df: DataFrame, order: list, n: int = 20) -> DataFrame:
-    """K2: the first ``n`` rows of a total order, as a DataFrame the caller
-    may ``collect`` (``show`` would print a nondeterministic ``n`` rows)."""
-    return df.orderBy(*order).limit(n)
+def last_writes(frames: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+    """The last row per key, without moving pixels through an aggregate.
+
+    Keys and order alone are aggregated (partially, so many copies of one
+    frame meet as one row a task) and the winners select their rows by a semi
+    join; rows equal in keys and order are one write and are reduced to one.
+    """
+    last = frames.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last")).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in order])
+    same = [frames[c].eqNullSafe(last[c]) for c in (*keys, *order)]
+    return frames.join(last, same, "left_semi").dropDuplicates([*keys, *order])

@@ -9,6 +9,7 @@ and a replayed batch replaces its own output instead of adding to it.
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,10 @@ from ember.operators.packets import decode_packets
 from ember.schemas import MESSAGE, PACKET_CONSUMER
 
 # Fixed values of the reference job: trigger interval, rate cap per trigger
-# and start position.
+# and start position.  The cap (4 messages a second) is an option here, not
+# the default: a faster topic would only grow a backlog behind it.
 DEFAULT_TRIGGER = "5 seconds"
-DEFAULT_MAX_PER_TRIGGER = 20
+REFERENCE_MAX_PER_TRIGGER = 20
 DEFAULT_STARTING_OFFSETS = "latest"
 _LOG = logging.getLogger("ember.streaming")
 
@@ -33,13 +35,13 @@ OK_STATUSES = ("ok", "segmented", "chroma_key")
 def kafka_source_options(
     servers: str, topic: str, *,
     starting_offsets: str = DEFAULT_STARTING_OFFSETS,
-    max_offsets_per_trigger: int | None = DEFAULT_MAX_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Subscribe to one topic from ``latest`` (data before the first
     start is skipped; a restart resumes from the checkpoint), at most
-    ``max_offsets_per_trigger`` messages per micro-batch.
+    ``max_offsets_per_trigger`` messages per micro-batch when given.
 
     Spark reads one Kafka partition with one task; ``min_partitions`` (set it
     to at least the executor cores) lets Spark cut a large partition -- e.g. a
@@ -92,8 +94,8 @@ def write_messages(df: DataFrame, options: dict[str, str]) -> None:
 
 def decode_stream(messages: DataFrame, schema: T.StructType = PACKET_CONSUMER,
                   keep: tuple[str, ...] = ("partition",)) -> DataFrame:
-    """Message value -> packet columns, with the raw text of bad JSON kept
-    in ``_corrupt`` for dead-lettering."""
+    """Message value -> packet columns, with the raw text of bad messages kept
+    in ``_corrupt`` and the reason in ``_corrupt_reason`` for dead-lettering."""
     keep = tuple(k for k in keep if k in messages.columns)
     return decode_packets(messages, "value", schema, keep=keep, corrupt_col="_corrupt")
 
@@ -102,12 +104,19 @@ def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
     """Per-batch counts of messages and malformed messages as observed
     metrics -- computed inside the batch's own job, read from the progress."""
     return decoded.observe(name, F.count(F.lit(1)).alias("messages"),
-                           F.count_if(F.col("_corrupt").isNotNull()).alias("malformed"))
+                           F.count_if(F.col("_corrupt_reason").isNotNull()).alias("malformed"))
+
+
+def batch_counts(spark: SparkSession, counts_path: str) -> DataFrame:
+    """Processed rows of every finished micro-batch, as the batches recorded them."""
+    return spark.read.parquet(counts_path).groupBy("batch_id").agg(F.sum("processed").alias("processed"))
 
 
 def batch_progress(query, name: str = "ingest") -> list[dict]:
-    """One small record per finished micro-batch (id, input rows, observed
-    counts, duration) from the query's progress reports -- metadata only."""
+    """One small record per recent micro-batch (id, input rows, observed
+    counts, duration) from the query's progress reports, of which Spark keeps
+    the last ``spark.sql.streaming.numRecentProgressUpdates``; ``batch_counts``
+    has every batch."""
     out = []
     for p in query.recentProgress:
         get = (lambda k, p=p: p[k]) if isinstance(p, dict) else (lambda k, p=p: getattr(p, k))
@@ -126,13 +135,13 @@ class BatchLineListener(StreamingQueryListener):
     Register with ``spark.streams.addListener(BatchLineListener())``; each
     batch of a query that used ``observe_ingest`` adds a line
     ``Batch <id> finished. Processed <rows> items (<malformed> malformed).``
-    to ``lines`` and to the ``ember.streaming`` logger.  Only progress
-    metadata reaches the driver.
+    to ``lines`` (the last ``keep`` ones) and to the ``ember.streaming``
+    logger.  Only progress metadata reaches the driver.
     """
 
-    def __init__(self, name: str = "ingest"):
+    def __init__(self, name: str = "ingest", keep: int = 1000):
         self.name = name
-        self.lines: list[str] = []
+        self.lines: deque[str] = deque(maxlen=keep)
 
     def onQueryStarted(self, event):
         pass
@@ -174,11 +183,11 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
         batch_df = batch_df.persist()
         try:
             probe = batch_df.agg(F.count(F.lit(1)).alias("n"),
-                                 F.count_if(F.col("_corrupt").isNotNull()).alias("bad")).first()
+                                 F.count_if(F.col("_corrupt_reason").isNotNull()).alias("bad")).first()
             if probe["n"] == 0:  # F5
                 return
-            good = batch_df.where(F.col("_corrupt").isNull()).drop("_corrupt")
-            bad = batch_df.where(F.col("_corrupt").isNotNull()).select("_corrupt", *[
+            good = batch_df.where(F.col("_corrupt_reason").isNull()).drop("_corrupt", "_corrupt_reason")
+            bad = batch_df.where(F.col("_corrupt_reason").isNotNull()).select("_corrupt", "_corrupt_reason", *[
                 c for c in count_by if c in batch_df.columns])
             if process is not None:
                 good = process(good)

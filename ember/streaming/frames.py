@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ember import streaming as S
-from ember.functions import frame_filename
+from ember.functions import b64decode, frame_filename
 from ember.operators import frames as FR
+from ember.sinks import last_writes
 
 # The consumer's packet fields for frame processing (pixel size included so
 # raw BGR payloads can be shaped without an image codec).
@@ -32,8 +33,12 @@ KEYS = ("camera_id", "frame_number", "timestamp_ms", "partition")
 
 
 def packet_frames(decoded: DataFrame) -> DataFrame:
-    """Decoded packets -> frame rows (height, width, BGR ``data``)."""
-    return decoded.withColumn("data", F.unbase64("frame_data")).drop("frame_data")
+    """Decoded packets -> frame rows (height, width, BGR ``data``).
+
+    A payload no decoder accepts gives NULL bytes, so that frame becomes
+    ``undecodable`` and the others of its batch are not touched (T20).
+    """
+    return decoded.withColumn("data", b64decode("frame_data")).drop("frame_data")
 
 
 def frame_processor(make_segmenter: Callable | None = None) -> Callable[[DataFrame], DataFrame]:
@@ -68,12 +73,7 @@ def latest_output(spark: SparkSession, root: str) -> DataFrame:
 
     Each batch overwrites only its own ``batch_id=N`` folder, so a frame sent
     again in a later batch appears twice; as with the reference's file
-    overwrite, the newest (``timestamp_ms``, then ``batch_id``) wins.  A
-    partial ``max_by`` per name: many copies of one frame never meet in a
-    single group.
+    overwrite, the newest (``timestamp_ms``, then ``batch_id``) wins.
     """
     out = spark.read.parquet(f"{root}/out")
-    cols = [c for c in out.columns if c not in ("camera_id", "filename")]
-    latest = out.groupBy("camera_id", "filename").agg(
-        F.max_by(F.struct(*cols), F.struct("timestamp_ms", "batch_id")).alias("_r"))
-    return latest.select("camera_id", "filename", "_r.*")
+    return last_writes(out, ("camera_id", "filename"), ("timestamp_ms", "batch_id"))

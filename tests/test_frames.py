@@ -216,3 +216,44 @@ def test_segmenter_built_once_per_worker_when_reused(spark, tmp_path):  # I9
             assert builds <= 16
         else:
             assert builds == runs       # once per partition, every job
+
+
+def constant_segmenter(score):
+    def make():
+        return lambda rgb: np.full(rgb.shape[:2], score)
+    return make
+
+
+def partial_segmenter(score):
+    return lambda rgb: np.full(rgb.shape[:2], score)
+
+
+def test_segmenters_over_other_values_are_other_models(spark):  # I9, Y5
+    import functools
+
+    df = frames_df(spark, [green_screen()]).coalesce(1)
+
+    def alpha(make, **kw):
+        out = FR.segment_frames(df, make, **kw).first()
+        return set(np.frombuffer(out["data"], dtype=np.uint8).reshape(32, 32, 4)[..., 3].ravel().tolist())
+
+    for _ in range(2):
+        assert alpha(constant_segmenter(0.0)) == {255} and alpha(constant_segmenter(1.0)) == {0}
+        assert alpha(functools.partial(partial_segmenter, 0.0)) == {255}
+        assert alpha(functools.partial(partial_segmenter, 1.0)) == {0}
+    assert FR._segmenter_key(functools.partial(partial_segmenter, 1.0), "a") == FR._segmenter_key(
+        functools.partial(partial_segmenter, 1.0), "a") != FR._segmenter_key(functools.partial(partial_segmenter, 1.0), "b")
+
+
+def test_the_segmenter_sees_rgb(spark):  # I10
+    red = np.zeros((8, 8, 3), np.uint8)
+    red[..., 2] = 255
+    out = FR.segment_frames(frames_df(spark, [red]), lambda: lambda rgb: rgb[..., 0] / 255.0).first()
+    assert set(bytes(out["data"])[3::4]) == {0}
+
+
+def test_a_missing_size_leaves_the_other_frames(spark):  # T20
+    gs = green_screen()
+    df = frames_df(spark, [gs]).union(spark.createDataFrame([(7, None, 32, gs.tobytes())], frames_df(spark, [gs]).schema)).coalesce(1)
+    out = {r["frame_id"]: r["status"] for r in FR.chroma_key_frames(df).collect()}
+    assert out[7] == "undecodable" and sorted(out.values()) == ["ok", "undecodable"]

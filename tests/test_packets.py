@@ -128,12 +128,37 @@ def test_in_camera_order(spark):  # W7
     rows = [("b", 2), ("a", 3), ("b", 1), ("a", 1), ("a", 2)]
     df = spark.createDataFrame(rows, "camera_id string, frame_number int")
     parts = P.in_camera_order(df).rdd.glom().collect()
-    for part in parts:
-        by_cam = {}
-        for cam, n in part:
-            by_cam.setdefault(cam, []).append(n)
-        assert all(v == sorted(v) for v in by_cam.values())
-    assert sum(len({c for c, _ in p}) for p in parts if p) == 2   # a camera never spans partitions
+    assert [tuple(r) for p in parts for r in p] == sorted(rows)
+
+
+def test_in_camera_order_cuts_a_busy_camera(spark):  # W7
+    df = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'busy' ELSE concat('c', id % 50) END AS camera_id",
+                                      "cast(id as int) AS frame_number").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = [p for p in P.in_camera_order(df).rdd.glom().collect() if p]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    flat = [tuple(r) for p in parts for r in p]
+    assert flat == sorted(flat) and len(flat) == 4000
+    assert sum(any(r["camera_id"] == "busy" for r in p) for p in parts) > 1
+
+
+def test_a_packet_of_any_size_is_read(spark):  # X15, V1
+    big = good_packet(frame_data="QUJD" * 8_500_000)
+    df = spark.createDataFrame([(json.dumps(big),)], "value string")
+    out = P.decode_packets(df, "value", PACKET_CONSUMER, corrupt_col="_corrupt").selectExpr(
+        "camera_id", "length(frame_data) AS n", "_corrupt_reason").first()
+    assert tuple(out) == ("cam1", 34_000_000, None)
+    assert Q.validate_packets(df).first()["message"] == "Valid packet"
+
+
+def test_corrupt_values_have_a_reason(spark):  # W1
+    values = [None, "[]", "123", "null", '"text"', "{broken", '{"camera_id":"a"', "{}", '{"camera_id": null}', json.dumps(good_packet())]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    out = P.decode_packets(df, "value", PACKET_CONSUMER, keep=("i",), corrupt_col="_corrupt").orderBy("i").collect()
+    assert [r["_corrupt_reason"] for r in out] == ["no value", *["not an object"] * 4, *["malformed"] * 2, None, None, None]
+    assert [r["_corrupt"] for r in out] == [*values[:7], None, None, None]
 
 
 def test_kafka_source_options():  # S11, W3, W4
@@ -141,7 +166,7 @@ def test_kafka_source_options():  # S11, W3, W4
 
     opts = kafka_source_options("b1:9092", "image-frames")
     assert opts == {"kafka.bootstrap.servers": "b1:9092", "subscribe": "image-frames",
-                    "startingOffsets": "latest", "maxOffsetsPerTrigger": "20"}
+                    "startingOffsets": "latest"}
     uncapped = kafka_source_options("b1:9092", "t", max_offsets_per_trigger=None, starting_offsets="earliest")
     assert "maxOffsetsPerTrigger" not in uncapped and uncapped["startingOffsets"] == "earliest"
     assert kafka_source_options("b", "t", min_partitions=64)["minPartitions"] == "64"

@@ -99,6 +99,39 @@ def test_frame_stream_end_to_end(spark, tmp_dir):  # C13
     assert sum(r["processed"] for r in counts) == 3           # A18: successes only
 
 
+def test_bad_packets_do_not_touch_the_good_ones(spark, tmp_dir):  # C13, T18-T20
+    staged = f"{tmp_dir}/staged/partition=0"
+    os.makedirs(staged)
+    unsized = green_packet("camA", 5)
+    del unsized["height"]
+    values = [json.dumps(green_packet("camA", 0)), json.dumps(dict(green_packet("camA", 1), frame_data="A")),
+              json.dumps(dict(green_packet("camA", 2), frame_data="abcde")), json.dumps(unsized), "[]", "123", "{broken", None,
+              json.dumps(green_packet("camA", 6))]
+    with open(f"{staged}/part-0.json", "w") as f:
+        for v in values:
+            f.write(json.dumps({"key": "camA", "value": v}) + "\n")
+    q = SF.run_frame_stream(spark, S.file_message_source(spark, f"{tmp_dir}/staged"), tmp_dir, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    out = {r["frame_number"]: r for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert {n: r["status"] for n, r in out.items()} == {0: "ok", 1: "undecodable", 2: "undecodable", 5: "undecodable", 6: "ok"}
+    assert bytes(out[0]["data"]) == bytes(out[6]["data"]) and out[5]["height"] is None
+    dead = spark.read.parquet(f"{tmp_dir}/dead").select("_corrupt", "_corrupt_reason").collect()
+    assert sorted((r[1], r[0] or "") for r in dead) == [("malformed", "{broken"), ("no value", ""), ("not an object", "123"), ("not an object", "[]")]
+    assert [r["processed"] for r in S.batch_counts(spark, f"{tmp_dir}/counts").collect()] == [2]
+
+
+def test_last_write_wins_without_sorting_pixels(spark, tmp_dir):  # W9
+    import contextlib
+    import io
+
+    df = spark.createDataFrame([("a", "f1", 1, 0, b"old"), ("a", "f1", 2, 0, b"new"), ("a", "f1", 2, 0, b"new"), ("b", "f1", 1, 0, b"x")],
+                               "camera_id string, filename string, timestamp_ms long, batch_id long, data binary")
+    df.write.partitionBy("batch_id").parquet(f"{tmp_dir}/out")
+    last = SF.latest_output(spark, tmp_dir)
+    assert sorted((r["camera_id"], bytes(r["data"])) for r in last.collect()) == [("a", b"new"), ("b", b"x")]
+
+
 def test_registered_stream_queries(spark):
     ingest = ST.stream_ingest(spark, SMALL)
     resume = ST.stream_resume(spark, SMALL)
