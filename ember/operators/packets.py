@@ -83,13 +83,14 @@ DEFAULT_QUALITY = 85
 
 
 def frames_to_packets(frames: DataFrame, *, encoding: str = "RAW", quality: int = DEFAULT_QUALITY,
-                      source: str = PACKET_SOURCE, ts_col: str | None = None) -> DataFrame:
+                      source: str = PACKET_SOURCE, ts_col: str | None = None,
+                      created_col: str | None = None) -> DataFrame:
     """C14: frame rows -> keyed packet messages (key = camera id, value = JSON).
 
     ``frames`` carries camera_id, frame_number, height, width and the pixel
     bytes ``data``; the bytes travel as base64 text.  ``timestamp_ms`` comes
     from ``ts_col`` when given, else from the query's current time (X19);
-    ``metadata.created_at`` is ISO text (X20).  No image codec is available to
+    ``metadata.created_at`` is ISO text (X20) of ``created_col`` or the current time.  No image codec is available to
     Spark, so ``encoding`` names the payload format (raw BGR by default).
     """
     ts = F.col(ts_col) if ts_col else now_millis()
@@ -102,7 +103,7 @@ def frames_to_packets(frames: DataFrame, *, encoding: str = "RAW", quality: int
         F.lit(encoding).alias("encoding"),
         b64encode("data").alias("frame_data"),
         F.lit(quality).alias("quality"),
-        F.struct(F.lit(source).alias("source"), iso_time().alias("created_at")).alias("metadata"),
+        F.struct(F.lit(source).alias("source"), iso_time(created_col).alias("created_at")).alias("metadata"),
     )
     return encode_packets(pk, "camera_id")
 

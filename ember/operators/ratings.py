@@ -158,6 +158,17 @@ def attr_list(ratings: DataFrame, users: DataFrame, attr: str, out: str, hot_spl
         F.array_join(F.array_sort(F.collect_set(attr)), ",").alias(out))
 
 
+def attr_mean_list(ratings: DataFrame, users: DataFrame, attr: str) -> DataFrame:
+    """(movie_id, pairs): the (value, mean) of every attribute value seen for a movie, sorted by value.
+
+    The pairs are collected from one pre-aggregated row each, so a list holds
+    at most the attribute's distinct values.
+    """
+    long = with_user_attr(ratings, users, attr).groupBy("movie_id", attr).agg(F.avg("rating").alias("_mean"))
+    return long.groupBy("movie_id").agg(F.array_sort(F.collect_list(
+        F.struct(F.col(attr).alias("value"), F.col("_mean").alias("mean")))).alias("pairs"))
+
+
 def pivot_mean(
     ratings: DataFrame,
     users: DataFrame,

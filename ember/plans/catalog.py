@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ember.functions import age_group, b64decode, b64encode_text, epoch_millis, frame_filename
+from ember.functions import age_group, b64decode, b64encode_text, epoch_millis, frame_filename, two_decimals
 from ember.operators import frames as FR
 from ember.operators import metrics as M
 from ember.operators import packets as P
@@ -90,6 +90,33 @@ def gender_report(spark, d):
     return RP.gender_report(_ratings(spark, d), TD.users(spark, d), TD.movies(spark, d))
 
 
+def age_report(spark, d):
+    return RP.age_report(_ratings(spark, d), TD.users(spark, d), TD.movies(spark, d))
+
+
+def genre_report(spark, d):
+    return RP.genre_report(_ratings(spark, d), TD.movies(spark, d))
+
+
+def occupation_report(spark, d):
+    return RP.occupation_report(_ratings(spark, d), TD.users(spark, d), TD.occupations(spark, d))
+
+
+def year_report(spark, d):
+    return RP.year_report(_ratings(spark, d), "ts")
+
+
+def best_movie_report(spark, d):
+    return RP.best_movie_report(_ratings(spark, d), TD.movies(spark, d), MIN_COUNT_BEST)
+
+
+def gender_avg_list(spark, d):
+    """The sorted (gender, mean) pairs of every movie as text."""
+    pairs = R.attr_mean_list(_ratings(spark, d), TD.users(spark, d), "gender")
+    text = F.transform("pairs", lambda p: F.concat(p["value"], F.lit(":"), two_decimals(p["mean"])))
+    return pairs.select("movie_id", F.array_join(text, ",").alias("genders"))
+
+
 def age_bucket(spark, d):
     return TD.users(spark, d).select("user_id", age_group("age").alias("age_group"))
 
@@ -206,6 +233,14 @@ def packet_encode(spark, d):
     return P.encode_packets(frames, "camera_id")
 
 
+def packet_encode_full(spark, d):
+    """C14: the whole nine-field packet, the event's properties as payload and its time as clock."""
+    ev = TD.table(spark, d, "events").select(
+        F.col("event_type").alias("camera_id"), F.col("event_id").alias("frame_number"), F.lit(480).alias("height"),
+        F.lit(640).alias("width"), F.encode("props", "UTF-8").alias("data"), epoch_millis("ts").alias("ms"), "ts")
+    return P.frames_to_packets(ev, ts_col="ms", created_col="ts")
+
+
 def packet_decode(spark, d):
     ev = _camera_frames(spark, d)
     dec = P.decode_packets(ev, "props", ST.PROPS_SCHEMA, keep=("event_id", "camera_id"))
@@ -311,54 +346,49 @@ def alpha_threshold(spark, d):
 
 
 def mask_dilate(spark, d):
-    return FR.pixels(FR.map_masks(TD.mask_frames(spark, d), FR.dilate), ("frame_id",))
+    return FR.pixels(FR.map_masks(TD.quadrant_masks(spark, d), FR.dilate), ("frame_id",))
 
 
 def mask_erode(spark, d):
-    return FR.pixels(FR.map_masks(TD.mask_frames(spark, d), FR.erode), ("frame_id",))
+    return FR.pixels(FR.map_masks(TD.quadrant_masks(spark, d), FR.erode), ("frame_id",))
 
 
 def chroma_mask(spark, d):
-    return FR.pixels(FR.chroma_mask(TD.synthetic_bgr_frames(spark, d)), ("frame_id",))
+    return FR.pixels(FR.chroma_mask(TD.embedding_frames(spark, d)), ("frame_id",))
 
 
 def chroma_key_alpha(spark, d):
     """I7 per pixel: the alpha channel of the chroma-keyed frames."""
-    keyed = FR.chroma_key_frames(TD.synthetic_bgr_frames(spark, d))
+    keyed = FR.chroma_key_frames(TD.embedding_frames(spark, d))
     return FR.pixels(keyed, ("frame_id",), value="alpha", channels=4, channel=3)
 
 
-VGA = (480, 640)
-
-
-def chroma_key_vga(spark, d):
-    """I7 at the reference's frame size: one 640x480 frame per embedding row."""
-    frames = TD.synthetic_bgr_frames(spark, d, height=VGA[0], width=VGA[1])
-    return FR.chroma_key_frames(frames).select(
-        "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
+def _channel_sums(frames):
+    """Key columns and the sum of every channel of BGRA frames."""
+    sums = [TD.channel_sum(F.col("data"), c).alias(f"sum_{n}") for c, n in enumerate("bgra")]
+    return frames.select("frame_id", "height", "width", "nChannels", "status", *sums)
 
 
 def chroma_key_frames(spark, d):
-    return FR.chroma_key_frames(TD.synthetic_bgr_frames(spark, d)).select(
-        "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
+    return _channel_sums(FR.chroma_key_frames(TD.embedding_frames(spark, d)))
 
 
-def _brightness_segmenter():
-    """Stand-in for a segmentation model: normalised brightness as the score."""
+def _weighted_segmenter():
+    """Stand-in for a segmentation model: a score that tells the channels apart."""
     def fn(rgb: np.ndarray) -> np.ndarray:
-        return rgb.astype(np.float64).mean(axis=2) / 255.0
+        r, g, b = (rgb[..., c].astype(np.float64) for c in range(3))
+        return (5 * r + 3 * g + 2 * b) / 2550.0 - 0.45
     return fn
 
 
 def segment_alpha(spark, d):
     """I8/I9 per pixel: the alpha channel after the pluggable segmenter."""
-    seg = FR.segment_frames(TD.synthetic_bgr_frames(spark, d), _brightness_segmenter)
+    seg = FR.segment_frames(TD.embedding_frames(spark, d), _weighted_segmenter)
     return FR.pixels(seg, ("frame_id",), value="alpha", channels=4, channel=3)
 
 
 def segment_frames(spark, d):
-    return FR.segment_frames(TD.synthetic_bgr_frames(spark, d), _brightness_segmenter).select(
-        "frame_id", "height", "width", "nChannels", "status", F.sha2(F.col("data"), 256).alias("digest"))
+    return _channel_sums(FR.segment_frames(TD.embedding_frames(spark, d), _weighted_segmenter))
 
 
 QUERIES: dict[str, Query] = {
@@ -374,6 +404,19 @@ QUERIES: dict[str, Query] = {
     "gender_list": gender_list,
     "gender_pivot": gender_pivot,
     "gender_report": gender_report,
+    "age_report": age_report,
+    "genre_report": genre_report,
+    "occupation_report": occupation_report,
+    "year_report": year_report,
+    "best_movie_report": best_movie_report,
+    "gender_avg_list": gender_avg_list,
+    "genre_stats_text": TF.genre_stats_text,
+    "age_pivot_text": TF.age_pivot_text,
+    "occupation_stats_text": TF.occupation_stats_text,
+    "year_stats_text": TF.year_stats_text,
+    "ratings_quarantine": TF.ratings_quarantine,
+    "orders_by_month_csv": TF.orders_by_month_csv,
+    "revenue_by_category_csv": TF.revenue_by_category_csv,
     "age_bucket": age_bucket,
     "age_avg_long": age_avg_long,
     "age_pivot": age_pivot,
@@ -395,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "product_sales_score": product_sales_score,
     "top_products": top_products,
     "packet_encode": packet_encode,
+    "packet_encode_full": packet_encode_full,
     "packet_decode": packet_decode,
     "stream_ingest": ST.stream_ingest,
     "stream_resume": ST.stream_resume,
@@ -417,8 +461,9 @@ QUERIES: dict[str, Query] = {
     "chroma_mask": chroma_mask,
     "chroma_key_alpha": chroma_key_alpha,
     "chroma_key_frames": chroma_key_frames,
-    "chroma_key_vga": chroma_key_vga,
     "frame_stream": ST.frame_stream,
+    "frame_stream_faults": ST.frame_stream_faults,
+    "frame_resend": ST.frame_resend,
     "segment_alpha": segment_alpha,
     "segment_frames": segment_frames,
 }

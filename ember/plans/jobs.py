@@ -31,14 +31,21 @@ def ratings_answers(
     spark: SparkSession, movies: str, ratings: Sequence[str], users: str, occupations: str,
     *, strict: bool = False,
 ) -> dict[str, DataFrame]:
-    """C1-C6 from the text files; ``quarantine`` holds every line that did not parse."""
+    """C1-C6 from the text files.
+
+    ``quarantine`` holds every line some question could not read: a rating
+    without a time counts in all questions but the one by year, a user
+    without an age in all but the one by age group.
+    """
     mv, mv_bad = SRC.read_movies(spark, movies, strict=strict)
-    rt, rt_bad = SRC.read_ratings(spark, list(ratings), strict=strict)
-    us, us_bad = SRC.read_users(spark, users, strict=strict)
+    rt, _ = SRC.read_ratings(spark, list(ratings), strict=strict)
+    timed, rt_bad = SRC.read_ratings(spark, list(ratings), strict=strict, required=SRC.TIMED_RATING)
+    us, _ = SRC.read_users(spark, users, strict=strict)
+    aged, us_bad = SRC.read_users(spark, users, strict=strict, required=SRC.AGED_USER)
     oc, oc_bad = SRC.read_occupations(spark, occupations, strict=strict)
     titles = mv.select("movie_id", "title")
     genres = mv.select("movie_id", "genres")
-    rt = rt.withColumn("ts", F.timestamp_seconds("ts"))
+    timed = timed.withColumn("ts", F.timestamp_seconds("ts"))
     quarantine = R.union_all(*[b.withColumn("source", F.lit(n)) for n, b in
                                (("movies", mv_bad), ("ratings", rt_bad), ("users", us_bad), ("occupations", oc_bad))])
     return {
@@ -48,11 +55,12 @@ def ratings_answers(
         "genre_stats": R.genre_stats(rt, genres, "genres", GENRE_SEP),
         "genre_report": RP.genre_report(rt, genres, "genres", GENRE_SEP),
         "gender_report": RP.gender_report(rt, us, titles),
-        "age_report": RP.age_report(rt, us, titles),
+        "age_pivot": R.age_pivot(rt, aged, titles),
+        "age_report": RP.age_report(rt, aged, titles),
         "occupation_stats": R.occupation_stats(rt, us, oc),
         "occupation_report": RP.occupation_report(rt, us, oc),
-        "year_stats": R.by_year(rt, "ts").orderBy("year"),
-        "year_report": RP.year_report(rt, "ts").orderBy("year"),
+        "year_stats": R.by_year(timed, "ts").orderBy("year"),
+        "year_report": RP.year_report(timed, "ts").orderBy("year"),
         "quarantine": quarantine,
     }
 

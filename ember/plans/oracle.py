@@ -19,7 +19,18 @@ reviews AS (SELECT o_orderkey AS order_id,
     UNION ALL SELECT o_orderkey, substr(o_orderpriority, 1, 1) FROM orders WHERE o_orderkey % 7 = 0),
 mask8 AS (SELECT vec_id AS frame_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x,
     CASE WHEN CAST(embedding[i] AS DOUBLE) > CAST(0.1 AS DOUBLE) THEN 255 ELSE 0 END AS v
-    FROM embeddings, range(1, 65) AS t(i))"""
+    FROM embeddings, range(1, 65) AS t(i)),
+maskq AS (SELECT vec_id AS frame_id, i // 8 AS y, i % 8 AS x,
+    CASE WHEN CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN embedding[(i // 32) * 2 + (i % 8) // 4 + 1] > 0 THEN 0.6e0 ELSE -0.6e0 END > 0.1e0
+    THEN 255 ELSE 0 END AS v FROM embeddings, range(0, 64) AS t(i)),
+frame8 AS (SELECT vec_id AS frame_id, i // 8 AS y, i % 8 AS x,
+    greatest(0, least(255, CAST(floor((CAST(embedding[(i + 21) % 64 + 1] AS DOUBLE) + 0.5e0) * 256) AS INTEGER))) AS b,
+    greatest(0, least(255, CAST(floor((CAST(embedding[i + 1] AS DOUBLE) + 0.5e0) * 256) AS INTEGER)
+      + CASE WHEN embedding[(i // 32) * 2 + (i % 8) // 4 + 1] > 0 THEN 80 ELSE -80 END)) AS g,
+    greatest(0, least(255, CAST(floor((CAST(embedding[(i + 42) % 64 + 1] AS DOUBLE) + 0.5e0) * 256) AS INTEGER))) AS r
+    FROM embeddings, range(0, 64) AS t(i)),
+text_ratings AS (SELECT user_id, movie_id, rating FROM ratings
+    UNION ALL SELECT 1, p_partkey, 3.0 FROM part WHERE p_partkey % 70 = 0)"""
 
 STATEMENTS: dict[str, str] = {
     "movie_stats": """SELECT m.movie_id, m.title, round(avg(rating), 2) AS avg_rating, count(*) AS total_ratings
@@ -70,7 +81,7 @@ FROM orders GROUP BY 1, 2 ORDER BY 1, 2 DESC""",
 JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey""",
     "revenue_by_category": """SELECT p_type AS category, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
 FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2001-01-01' GROUP BY p_type ORDER BY total_revenue DESC""",
+WHERE o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2001-01-01' GROUP BY p_type ORDER BY total_revenue DESC, category""",
     "product_sales_score": """SELECT l_partkey AS product_id, count(l_partkey) AS total_sold, round(avg(CAST(review_score AS INT)), 2) AS avg_score
 FROM lineitem JOIN (SELECT * FROM reviews WHERE review_score IN ('1','2','3','4','5')) ON l_orderkey = order_id
 JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""",
@@ -81,7 +92,7 @@ JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey ORDER BY total_sold DE
     "packet_decode": """SELECT event_id, event_type AS camera_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events""",
     "stream_ingest": """SELECT event_id, event_type AS camera_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events""",
     "stream_resume": """SELECT event_id, event_type AS camera_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events""",
-    "stream_batch_counts": """SELECT event_id % 5 AS part, count(*) AS processed FROM events GROUP BY 1""",
+    "stream_batch_counts": """SELECT event_id % 5 AS part, CAST(1 AS BIGINT) AS batches, count(*) AS processed FROM events GROUP BY 1""",
     "payload_base64": """SELECT doc_id, to_base64(encode(text)) AS frame_data FROM documents""",
     "payload_roundtrip": """SELECT doc_id, octet_length(from_base64(to_base64(encode(text)))) AS n_bytes FROM documents""",
     "frame_filename": """SELECT event_id, event_type || '_' || printf('%06d', event_id) || '.png' AS filename FROM events""",
@@ -98,15 +109,15 @@ JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey ORDER BY total_sold DE
     "latency_histogram": """SELECT event_type AS stage, count(CASE WHEN value <= 1 THEN 1 END) AS le_1, count(CASE WHEN value <= 10 THEN 1 END) AS le_10, count(CASE WHEN value <= 50 THEN 1 END) AS le_50, count(CASE WHEN value <= 100 THEN 1 END) AS le_100, count(*) AS le_inf FROM events GROUP BY 1""",
     "message_volume": """SELECT count(*) AS total_messages, round(CAST(sum(octet_length(encode(text))) AS DOUBLE) / 1048576, 6) AS total_mb FROM documents""",
     "alpha_threshold": """SELECT frame_id, y, x, 255 - v AS alpha FROM mask8""",
-    "mask_dilate": """SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM mask8 a CROSS JOIN (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS se(dy, dx)
-JOIN mask8 b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GROUP BY 1, 2, 3""",
-    "mask_erode": """SELECT a.frame_id, a.y, a.x, min(b.v) AS v FROM mask8 a CROSS JOIN (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS se(dy, dx)
-JOIN mask8 b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GROUP BY 1, 2, 3""",
+    "mask_dilate": """SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM maskq a CROSS JOIN (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS se(dy, dx)
+JOIN maskq b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GROUP BY 1, 2, 3""",
+    "mask_erode": """SELECT a.frame_id, a.y, a.x, min(b.v) AS v FROM maskq a CROSS JOIN (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS se(dy, dx)
+JOIN maskq b ON b.frame_id = a.frame_id AND b.y = a.y + dy AND b.x = a.x + dx GROUP BY 1, 2, 3""",
     "chroma_mask": """SELECT frame_id, y, x, CASE WHEN h BETWEEN 35 AND 90 AND s BETWEEN 40 AND 255 AND mx BETWEEN 40 AND 255 THEN 255 ELSE 0 END AS v FROM (
   SELECT *, CASE WHEN h0 < 0 THEN h0 + 180 ELSE h0 END AS h FROM (
   SELECT *, CASE WHEN mx = 0 THEN 0 ELSE floor((d * round(1044480.0 / mx) + 2048) / 4096) END AS s,
     CASE WHEN d = 0 THEN 0 ELSE floor(((CASE WHEN mx = r THEN g - b WHEN mx = g THEN b - r + 2 * d ELSE r - g + 4 * d END) * round(122880.0 / d) + 2048) / 4096) END AS h0 FROM (
-  SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8))))""",
+  SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM frame8)))""",
     "movie_stats_text": """SELECT m.movie_id, m.title, round(avg(rating), 2) AS avg_rating, count(*) AS total_ratings
 FROM ratings r JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title""",
     "orders_by_country_csv": """SELECT n_name AS country, count(*) AS cnt FROM customer JOIN orders ON c_custkey = o_custkey
@@ -116,7 +127,7 @@ WITH m0 AS (SELECT frame_id, y, x, CASE WHEN h BETWEEN 35 AND 90 AND s BETWEEN 4
   SELECT *, CASE WHEN h0 < 0 THEN h0 + 180 ELSE h0 END AS h FROM (
   SELECT *, CASE WHEN mx = 0 THEN 0 ELSE floor((d * round(1044480.0 / mx) + 2048) / 4096) END AS s,
     CASE WHEN d = 0 THEN 0 ELSE floor(((CASE WHEN mx = r THEN g - b WHEN mx = g THEN b - r + 2 * d ELSE r - g + 4 * d END) * round(122880.0 / d) + 2048) / 4096) END AS h0 FROM (
-  SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8))))),
+  SELECT *, greatest(b, g, r) AS mx, greatest(b, g, r) - least(b, g, r) AS d FROM frame8)))),
 se AS (SELECT * FROM (VALUES (-2,0),(-1,-2),(-1,-1),(-1,0),(-1,1),(-1,2),(0,-2),(0,-1),(0,0),(0,1),(0,2),(1,-2),(1,-1),(1,0),(1,1),(1,2),(2,0)) AS t(dy, dx)),
 c1 AS (SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM m0 a CROSS JOIN se JOIN m0 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
 c2 AS (SELECT a.frame_id, a.y, a.x, min(b.v) AS v FROM c1 a CROSS JOIN se JOIN c1 b ON b.frame_id = a.frame_id AND b.y = a.y + se.dy AND b.x = a.x + se.dx GROUP BY 1, 2, 3),
@@ -125,12 +136,63 @@ o2 AS (SELECT a.frame_id, a.y, a.x, max(b.v) AS v FROM o1 a CROSS JOIN se JOIN o
 k AS (SELECT * FROM (VALUES (-2,1),(-1,4),(0,6),(1,4),(2,1)) AS t(o, w)),
 bl AS (SELECT a.frame_id, a.y, a.x, (sum(ky.w * kx.w * b.v) + 128) // 256 AS v FROM o2 a CROSS JOIN k ky CROSS JOIN k kx JOIN o2 b ON b.frame_id = a.frame_id AND b.y = (CASE WHEN a.y + ky.o < 0 THEN -(a.y + ky.o) WHEN a.y + ky.o > 7 THEN 14 - (a.y + ky.o) ELSE a.y + ky.o END) AND b.x = (CASE WHEN a.x + kx.o < 0 THEN -(a.x + kx.o) WHEN a.x + kx.o > 7 THEN 14 - (a.x + kx.o) ELSE a.x + kx.o END) GROUP BY 1, 2, 3)
 SELECT * FROM bl)""",
-    "segment_alpha": """SELECT frame_id, y, x, CASE WHEN (b + g + r) / 3.0 / 255.0 > 0.1 THEN 0 ELSE 255 END AS alpha FROM (SELECT frame_id, y, x, (frame_id * 7 + (8 * y + x) * 13) % 256 AS b, (frame_id * 31 + (8 * y + x) * 29) % 256 AS g, (frame_id * 17 + (8 * y + x) * 5) % 256 AS r FROM mask8)""",
+    "segment_alpha": """SELECT frame_id, y, x, CASE WHEN (5 * r + 3 * g + 2 * b) / 2550e0 - 0.45e0 > 0.1e0 THEN 0 ELSE 255 END AS alpha FROM frame8""",
     "gender_avg_long_hot_split": """SELECT movie_id, gender, round(avg(rating), 2) AS avg_rating FROM ratings r JOIN users u ON r.user_id = u.user_id GROUP BY movie_id, gender""",
-    "frame_stream": """SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, CAST(vec_id AS INTEGER) AS frame_number,
-  'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename, 'ok' AS status FROM embeddings""",
+    "age_report": """SELECT m.movie_id, m.title || ' - [0-18: ' || coalesce(printf('%.2f', avg(CASE WHEN age <= 18 THEN rating END)), 'NA') ||
+  ', 18-35: ' || coalesce(printf('%.2f', avg(CASE WHEN age > 18 AND age <= 35 THEN rating END)), 'NA') ||
+  ', 35-50: ' || coalesce(printf('%.2f', avg(CASE WHEN age > 35 AND age <= 50 THEN rating END)), 'NA') ||
+  ', 50+: ' || coalesce(printf('%.2f', avg(CASE WHEN age > 50 THEN rating END)), 'NA') || ']' AS report_line
+FROM ratings r JOIN users u ON r.user_id = u.user_id JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title""",
+    "genre_report": """SELECT genre, genre || ' - AverageRating: ' || printf('%.2f', avg(rating)) || ' (TotalRatings: ' || count(*) || ')' AS report_line FROM
+(SELECT rating, unnest(string_split(title, ' ')) AS genre FROM ratings r JOIN movies m ON r.movie_id = m.movie_id) GROUP BY genre""",
+    "occupation_report": """SELECT occupation, occupation || ' - AverageRating: ' || printf('%.2f', avg(rating)) || ' (TotalRatings: ' || count(*) || ')' AS report_line
+FROM ratings r JOIN users u ON r.user_id = u.user_id JOIN occupations o ON u.occ_id = o.occ_id GROUP BY o.occ_id, occupation""",
+    "year_report": """SELECT CAST(year(ts) AS BIGINT) AS year, year(ts) || ' - TotalRatings: ' || count(*) || ', AverageRating: ' || printf('%.2f', avg(rating)) AS report_line
+FROM ratings GROUP BY year(ts)""",
+    "best_movie_report": """SELECT m.movie_id, m.title || ' is the highest rated movie with an average rating of ' || printf('%.2f', avg(rating)) ||
+  ' among movies with at least 5 ratings.' AS report_line FROM ratings r JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title
+HAVING count(*) >= 5 ORDER BY avg(rating) DESC, m.movie_id LIMIT 1""",
+    "gender_avg_list": """SELECT movie_id, string_agg(gender || ':' || printf('%.2f', a), ',' ORDER BY gender) AS genders FROM
+(SELECT movie_id, gender, avg(rating) AS a FROM ratings r JOIN users u ON r.user_id = u.user_id GROUP BY movie_id, gender) GROUP BY movie_id""",
+    "genre_stats_text": """SELECT genre, round(avg(rating), 2) AS avg_rating, count(*) AS total_ratings FROM
+(SELECT rating, unnest(string_split(title, ' ')) AS genre FROM text_ratings r JOIN movies m ON r.movie_id = m.movie_id) GROUP BY genre""",
+    "age_pivot_text": """SELECT m.movie_id, m.title, round(avg(CASE WHEN age <= 18 THEN rating END), 2) AS age_0_18,
+  round(avg(CASE WHEN age > 18 AND age <= 35 THEN rating END), 2) AS age_18_35,
+  round(avg(CASE WHEN age > 35 AND age <= 50 THEN rating END), 2) AS age_35_50, round(avg(CASE WHEN age > 50 THEN rating END), 2) AS age_50_plus
+FROM text_ratings r JOIN users u ON r.user_id = u.user_id JOIN movies m ON r.movie_id = m.movie_id GROUP BY m.movie_id, m.title""",
+    "occupation_stats_text": """SELECT occupation, round(avg(rating), 2) AS avg_rating, count(*) AS total_ratings
+FROM text_ratings r JOIN users u ON r.user_id = u.user_id JOIN occupations o ON u.occ_id = o.occ_id GROUP BY o.occ_id, occupation""",
+    "year_stats_text": """SELECT CAST(year(ts) AS BIGINT) AS year, count(*) AS total_ratings, round(avg(rating), 2) AS avg_rating FROM ratings GROUP BY 1""",
+    "ratings_quarantine": """SELECT 'ratings' AS source, '1,' || p_partkey || ',many,0' AS value, 'bad or missing field: rating' AS reason FROM part WHERE p_partkey % 50 = 0
+UNION ALL SELECT 'ratings', '1,' || p_partkey || ',3.0,noon', 'bad or missing field: ts' FROM part WHERE p_partkey % 70 = 0
+UNION ALL SELECT 'users', 'u' || c_custkey || ',M,old,0', 'bad or missing field: age' FROM customer WHERE c_custkey % 40 = 0""",
+    "orders_by_month_csv": """SELECT CAST(year(t) AS BIGINT) AS order_year, CAST(month(t) AS BIGINT) AS order_month, count(*) AS cnt
+FROM (SELECT CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_orderdate END AS t FROM orders) GROUP BY 1, 2""",
+    "revenue_by_category_csv": """SELECT p_type AS category, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderkey % 23 <> 0 AND o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2001-01-01' GROUP BY p_type""",
+    "packet_encode_full": """SELECT event_type AS key, CAST(json_object('camera_id', event_type, 'timestamp_ms', epoch_us(ts) // 1000, 'frame_number', event_id,
+  'width', 640, 'height', 480, 'encoding', 'RAW', 'frame_data', to_base64(encode(props)), 'quality', 85,
+  'metadata', json_object('source', 'camera_simulation', 'created_at', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'))) AS VARCHAR) AS value FROM events""",
+    "frame_stream_faults": """SELECT CASE WHEN vec_id % 7 IN (3, 4) THEN NULL ELSE 'cam' || CAST(label AS VARCHAR) END AS camera_id,
+  CASE WHEN vec_id % 7 IN (3, 4) THEN NULL ELSE vec_id END AS frame_number,
+  CASE WHEN vec_id % 7 IN (3, 4) THEN 'dead' WHEN vec_id % 7 IN (1, 2) THEN 'undecodable' ELSE 'ok' END AS status,
+  CASE vec_id % 7 WHEN 3 THEN 'not an object' WHEN 4 THEN 'no value' END AS reason FROM embeddings""",
+    "frame_resend": """SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, 'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename,
+  CASE WHEN vec_id % 3 = 0 THEN vec_id + 1000 ELSE vec_id END AS timestamp_ms, CAST(CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM embeddings""",
 }
 
+# Whole-frame results from the per-pixel statements.
+_SUMS = """CAST(sum(f.b) AS BIGINT) AS sum_b, CAST(sum(f.g) AS BIGINT) AS sum_g, CAST(sum(f.r) AS BIGINT) AS sum_r, CAST(sum(a.alpha) AS BIGINT) AS sum_a"""
+_BY_FRAME = """SELECT f.frame_id, 8 AS height, 8 AS width, 4 AS "nChannels", '{status}' AS status, {sums}
+FROM frame8 f JOIN ({alpha}) a ON f.frame_id = a.frame_id AND f.y = a.y AND f.x = a.x GROUP BY f.frame_id"""
+STATEMENTS["chroma_key_frames"] = _BY_FRAME.format(status="ok", sums=_SUMS, alpha=STATEMENTS["chroma_key_alpha"])
+STATEMENTS["segment_frames"] = _BY_FRAME.format(status="segmented", sums=_SUMS, alpha=STATEMENTS["segment_alpha"])
+STATEMENTS["frame_stream"] = f"""SELECT 'cam' || CAST(label AS VARCHAR) AS camera_id, CAST(vec_id AS INTEGER) AS frame_number,
+  'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png' AS filename, 'ok' AS status, s.alpha_sum
+FROM embeddings JOIN (SELECT frame_id, CAST(sum(alpha) AS BIGINT) AS alpha_sum FROM ({STATEMENTS["chroma_key_alpha"]}) GROUP BY frame_id) s
+ON vec_id = s.frame_id"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: PRELUDE + "\n" + sql for name, sql in STATEMENTS.items()}

@@ -108,36 +108,77 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One staged file per trigger (the rate cap): one micro-batch per source
-    # partition, each recording its own processed count.
-    root = _ingest(spark, sf_dir, resume=False, max_files=1)
-    counts = spark.read.parquet(f"{root}/counts")
-    return counts.groupBy(F.col("partition").cast("bigint").alias("part")).agg(
-        F.sum("processed").alias("processed"))
-
+    """What every micro-batch recorded: per source partition, its batches and the rows of each.
 
-# Side of the synthetic frames streamed by ``frame_stream``.
-FRAME_SIDE = 32
+    One staged file per trigger (the rate cap) makes a micro-batch of each
+    staged file, that is of each source partition.
+    """
+    root = _ingest(spark, sf_dir, resume=False, max_files=1)
+    per_batch = S.batch_counts(spark, f"{root}/counts")
+    part = spark.read.parquet(f"{root}/counts").select("batch_id", F.col("partition").cast("bigint").alias("part")).distinct()
+    return per_batch.join(part, "batch_id").groupBy("part").agg(
+        F.count("*").alias("batches"), F.sum("processed").alias("processed"))
 
 
 def frame_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One packet message per embedding-derived frame, keyed by camera (label)."""
-    frames = TD.synthetic_bgr_frames(spark, sf_dir, FRAME_SIDE, with_camera=True).withColumnRenamed(
-        "frame_id", "frame_number")
+    """One packet message per embedding's frame, keyed by camera (label)."""
+    frames = TD.embedding_frames(spark, sf_dir, with_camera=True).withColumnRenamed("frame_id", "frame_number")
     # As a keyed producer does: the partition is a hash of the key, so one
     # camera's frames stay in one partition, in order.
-    return frames_to_packets(frames).withColumn(
+    return frames_to_packets(frames, ts_col="frame_number").withColumn(
         "partition", F.pmod(F.hash("key"), F.lit(STAGE_PARTITIONS)).cast("int"))
 
 
+def _run_frames(spark: SparkSession, root: str) -> None:
+    q = SF.run_frame_stream(spark, S.file_message_source(spark, f"{root}/staged"), root, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packets -> stream -> chroma key -> keyed BGRA frames; one row per
-    frame written (key, file name, status)."""
+    frame written (key, file name, status, sum of the alpha channel)."""
     root = shared_dir(spark, "frames")
     stage(frame_messages(spark, sf_dir), f"{root}/staged")
-    msgs = S.file_message_source(spark, f"{root}/staged")
-    q = SF.run_frame_stream(spark, msgs, root, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(f"{root}/out").select("camera_id", "frame_number", "filename", "status")
+    _run_frames(spark, root)
+    return spark.read.parquet(f"{root}/out").select(
+        "camera_id", "frame_number", "filename", "status", TD.channel_sum(F.col("data"), 3).alias("alpha_sum"))
+
+
+# Faults of ``frame_stream_faults`` by the frame number's rest modulo 7 (fixed values of the oracle).
+FAULT_CYCLE = 7
+
+
+def frame_stream_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 under faults: every message's fate (key of a written frame, status, or the dead letter's reason).
+
+    Rest 1: dangling base64; 2: no height; 3: an empty array; 4: no value.
+    """
+    root = shared_dir(spark, "faults")
+    msgs = frame_messages(spark, sf_dir).withColumn("n", F.get_json_object("value", "$.frame_number").cast("bigint") % FAULT_CYCLE)
+    value = (F.when(F.col("n") == 1, F.regexp_replace("value", '"frame_data":"[^"]*"', '"frame_data":"A"'))
+             .when(F.col("n") == 2, F.regexp_replace("value", '"height":[0-9]+,', ""))
+             .when(F.col("n") == 3, F.lit("[]")).when(F.col("n") == 4, F.lit(None).cast("string")).otherwise(F.col("value")))
+    stage(msgs.withColumn("value", value).drop("n"), f"{root}/staged")
+    _run_frames(spark, root)
+    out = spark.read.parquet(f"{root}/out").select(
+        "camera_id", F.col("frame_number").cast("bigint").alias("frame_number"), "status", F.lit(None).cast("string").alias("reason"))
+    dead = spark.read.parquet(f"{root}/dead").select(
+        F.lit(None).cast("string").alias("camera_id"), F.lit(None).cast("bigint").alias("frame_number"),
+        F.lit("dead").alias("status"), F.col("_corrupt_reason").alias("reason"))
+    return out.unionByName(dead)
+
+
+def frame_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames sent again in a later batch, a second later, replace the first ones."""
+    root = shared_dir(spark, "resend")
+    msgs = frame_messages(spark, sf_dir)
+    stage(msgs, f"{root}/staged")
+    _run_frames(spark, root)
+    number = F.get_json_object("value", "$.frame_number").cast("bigint")
+    stage(msgs.where(number % 3 == 0).withColumn("value", F.regexp_replace(
+        "value", '"timestamp_ms":[0-9]+', F.concat(F.lit('"timestamp_ms":'), (number + 1000).cast("string")))), f"{root}/staged")
+    _run_frames(spark, root)
+    return SF.latest_output(spark, root).select(
+        "camera_id", "filename", "timestamp_ms", F.col("batch_id").cast("bigint").alias("batch_id"))

@@ -52,7 +52,7 @@ def read_delimited_text(
         schema = T.StructType([T.StructField(n, T.StringType()) for n, _ in fields])
         raw = (spark.read.schema(schema).option("sep", sep).option("header", "false")
                .option("mode", "PERMISSIVE").csv(paths))
-        raw = raw.withColumn("value", F.concat_ws(sep, *[F.col(n) for n, _ in fields]))
+        raw = raw.withColumn("value", F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n, _ in fields]))
         typed = raw.select("value", *[F.col(n).try_cast(t).alias(n) for n, t in fields])
     else:
         raw = spark.read.text(paths)
@@ -83,17 +83,23 @@ OCCUPATION_LAYOUT = list(zip(OCCUPATION_FIELDS, ("string", "string")))
 
 
 def read_movies(spark, paths, **kw):
-    """movies: (movie_id, title, genres); only the id is required."""
-    good, bad = read_delimited_text(spark, paths, MOVIE_LAYOUT, required=["movie_id"], **kw)
-    return good, bad
+    """movies: (movie_id, title, genres); only the id is required unless ``required`` says more."""
+    return read_delimited_text(spark, paths, MOVIE_LAYOUT, **{"required": ["movie_id"], **kw})
 
 
 def read_ratings(spark, paths, **kw):
-    return read_delimited_text(spark, paths, RATING_LAYOUT, required=["user_id", "movie_id", "rating"], **kw)
+    """ratings: a question that reads the time adds ``ts`` to ``required``."""
+    return read_delimited_text(spark, paths, RATING_LAYOUT, **{"required": ["user_id", "movie_id", "rating"], **kw})
 
 
 def read_users(spark, paths, **kw):
-    return read_delimited_text(spark, paths, USER_LAYOUT, required=["user_id"], **kw)
+    """users: a question that reads the age adds ``age`` to ``required``."""
+    return read_delimited_text(spark, paths, USER_LAYOUT, **{"required": ["user_id"], **kw})
+
+
+# What the questions about years and about ages cannot do without.
+TIMED_RATING = ["user_id", "movie_id", "rating", "ts"]
+AGED_USER = ["user_id", "age"]
 
 
 def read_occupations(spark, paths, **kw):

@@ -28,25 +28,9 @@ DIRTY_REVIEW_EVERY = 10
 SECOND_REVIEW_EVERY = 7
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One read per (session, table): the file listing and footer read are
-    done once, and every query derives its plan from the same relation."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every driver table as a temp view of the same name."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    """One driver table; read anew at each call, so files added since are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- ratings --
@@ -119,23 +103,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- frames --
 
-def mask_frames(spark: SparkSession, sf_dir: str, side: int = 8) -> DataFrame:
-    """One ``side`` x ``side`` mask per embedding: 255 where the value > 0.1.
-
-    Columns: frame_id, height, width, data (binary, one byte per pixel).
-    """
-    e = table(spark, sf_dir, "embeddings")
-    pixels = F.transform(
-        F.col("embedding"),
-        lambda v: F.when(v.cast("double") > F.lit(0.1).cast("double"), 255).otherwise(0))
-    return e.select(
-        F.col("vec_id").alias("frame_id"),
-        F.lit(side).alias("height"),
-        F.lit(side).alias("width"),
-        ints_to_binary(pixels).alias("data"),
-    )
-
-
 def category_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-pixel float scores (a segmenter's category mask) per embedding."""
     e = table(spark, sf_dir, "embeddings")
@@ -147,49 +114,70 @@ def category_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def synthetic_bgr_frames(spark: SparkSession, sf_dir: str, side: int = 8, with_camera: bool = False,
-                         height: int | None = None, width: int | None = None) -> DataFrame:
-    """A deterministic ``side`` x ``side`` (or ``height`` x ``width``) BGR frame per embedding id.
+def _quadrant(i):
+    """Index of an 8 x 8 pixel's quadrant, 0 to 3."""
+    return (i / F.lit(32)).cast("int") * 2 + (i % 8 / F.lit(4)).cast("int")
+
+
+def quadrant_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 8 x 8 mask per embedding with areas that survive erosion.
 
-    Pixel i of frame f: B = (7f + 13i) % 256, G = (31f + 29i) % 256,
-    R = (17f + 5i) % 256, interleaved B, G, R row by row.  With
+    A pixel is 255 where its value, raised or lowered by 0.6 with the sign of
+    its quadrant's value, is over 0.1.
+    """
+    px = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(
+        F.get("embedding", i).cast("double")
+        + F.when(F.get("embedding", _quadrant(i)) > 0, F.lit(0.6)).otherwise(F.lit(-0.6)) > F.lit(0.1), 255).otherwise(0))
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("frame_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), ints_to_binary(px).alias("data"))
+
+
+FRAME_SIDE = 8
+GREEN_SHIFT = 80       # how far a quadrant's sign moves the green channel
+
+
+def embedding_frames(spark: SparkSession, sf_dir: str, with_camera: bool = False) -> DataFrame:
+    """One 8 x 8 BGR frame per embedding, its pixels made of the 64 values.
+
+    With q(x) = floor((x + 0.5) * 256) limited to 0..255, pixel i has
+    B = q(e[i + 21]), G = q(e[i]) moved by GREEN_SHIFT with the sign of its
+    quadrant's value, R = q(e[i + 42]) (indexes modulo 64).  With
     ``with_camera`` the embedding's label names the camera (``cam<label>``).
-    The bytes are made per Arrow batch with numpy (``mapInPandas``).
     """
-    from ember.session import ship_package
+    def limited(x):
+        return F.greatest(F.lit(0), F.least(F.lit(255), x)).cast("int")
 
-    e = table(spark, sf_dir, "embeddings").select(
+    def level(i):
+        return F.floor((F.get("embedding", i % 64).cast("double") + 0.5) * 256)
+
+    def pixel(i):
+        shift = F.when(F.get("embedding", _quadrant(i)) > 0, GREEN_SHIFT).otherwise(-GREEN_SHIFT)
+        return F.array(limited(level(i + 21)), limited(level(i) + shift), limited(level(i + 42)))
+
+    data = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), pixel))
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("frame_id"),
-        *([F.concat(F.lit("cam"), F.col("label").cast("string")).alias("camera_id")] if with_camera else []))
-    # Pixel work is ~ms per frame while an id row is a few bytes: spread the ids
-    # over the cluster's parallelism before the frames exist (a small table is
-    # otherwise one task), so generation and every frame kernel run in parallel.
-    e = e.repartition(max(1, spark.sparkContext.defaultParallelism))
-    keys = list(e.columns)
-    fh, fw = height or side, width or side
-    n = fh * fw
+        *([F.concat(F.lit("cam"), F.col("label").cast("string")).alias("camera_id")] if with_camera else []),
+        F.lit(FRAME_SIDE).alias("height"), F.lit(FRAME_SIDE).alias("width"), F.lit(3).alias("nChannels"),
+        ints_to_binary(data).alias("data"))
+
+
+def tiled_frames(frames: DataFrame, height: int, width: int) -> DataFrame:
+    """Frames of another size, tiled from the pixels of ``frames`` (for the benchmark)."""
+    from ember.session import ship_package
 
     def make(batches):
         import numpy as np
 
-        i = np.arange(n, dtype=np.int64)
-        # (f*a + i*b) % 256 == ((i*b) % 256 + f*a) % 256: the pixel terms once per partition.
-        terms = [((i * b) % 256, a) for a, b in ((7, 13), (31, 29), (17, 5))]
         for pdf in batches:
-            data = []
-            for f in pdf["frame_id"].to_numpy(dtype=np.int64):
-                px = np.empty((n, 3), dtype=np.uint8)
-                for c, (ib, a) in enumerate(terms):
-                    px[:, c] = (ib + f * a) % 256
-                data.append(px.tobytes())
-            out = pdf[keys].copy()
-            out["height"], out["width"], out["nChannels"] = fh, fw, 3
-            out["data"] = data
+            out = pdf[["frame_id"]].copy()
+            out["height"], out["width"], out["nChannels"] = height, width, 3
+            out["data"] = [np.tile(np.frombuffer(d, np.uint8).reshape(h, w, 3), (-(-height // h), -(-width // w), 1))
+                           [:height, :width].tobytes() for d, h, w in zip(pdf["data"], pdf["height"], pdf["width"])]
             yield out
 
-    ship_package(spark)
-    ddl = ", ".join(f"{k} {e.schema[k].dataType.simpleString()}" for k in keys)
-    return e.mapInPandas(make, f"{ddl}, height int, width int, nChannels int, data binary")
+    ship_package(frames.sparkSession)
+    return frames.mapInPandas(make, "frame_id long, height int, width int, nChannels int, data binary")
 
 
 def ints_to_binary(values) -> "F.Column":
@@ -203,3 +191,9 @@ def binary_to_ints(data) -> "F.Column":
     return F.transform(
         F.sequence(F.lit(0), F.octet_length(data) - 1),
         lambda i: F.conv(F.hex(F.substring(data, i + 1, 1)), 16, 10).cast("int"))
+
+
+def channel_sum(data, channel: int, channels: int = 4) -> "F.Column":
+    """Sum of one channel's bytes of an interleaved frame."""
+    mine = F.filter(binary_to_ints(data), lambda _, i: i % channels == channel)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x)

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SMALL
 
-STREAMING = {"stream_ingest", "stream_resume", "stream_batch_counts", "frame_stream"}
+STREAMING = {"stream_ingest", "stream_resume", "stream_batch_counts", "frame_stream", "frame_stream_faults", "frame_resend"}
 QUERIES = E.queries()
 
 

@@ -139,7 +139,9 @@ def test_registered_stream_queries(spark):
     want = sorted((r[0], r[1]) for r in ev.select("event_id", "event_type").collect())
     assert sorted((r[0], r[1]) for r in ingest.select("event_id", "camera_id").collect()) == want
     assert sorted((r[0], r[1]) for r in resume.select("event_id", "camera_id").collect()) == want
-    counts = {r["part"]: r["processed"] for r in ST.stream_batch_counts(spark, SMALL).collect()}
+    batches = ST.stream_batch_counts(spark, SMALL).collect()
+    assert {r["batches"] for r in batches} == {1}
+    counts = {r["part"]: r["processed"] for r in batches}
     assert counts == {r[0]: r[1] for r in ev.groupBy(F.col("event_id") % 5).count().collect()}
 
 
