@@ -89,6 +89,6 @@ def test_frame_job_wiring_with_a_file_source(spark, tmp_dir, monkeypatch):  # C1
         q.processAllAvailable()
     finally:
         q.stop()
-    assert seen == {"servers": "broker:9092", "topic": "frames", "max_offsets_per_trigger": 20, "min_partitions": 4}
+    assert seen == {"servers": "broker:9092", "topic": "frames", "max_offsets_per_trigger": None, "min_partitions": 4}
     out = spark.read.parquet(f"{tmp_dir}/job/out").collect()
     assert [(r["filename"], r["status"]) for r in out] == [("camA_000003.png", "ok")]
