@@ -135,7 +135,7 @@ def _fit_source(cap: int):
 
 
 def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5,
-                cap: int = 2, seed: int = 11, slice_rows: int = 4096) -> DataFrame:
+                cap: int = 2, seed: int = 11, slice_rows: int = 256) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every row of ``docs(doc_id, text, source)``."""
     ship_package(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
