@@ -54,9 +54,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a null id stay; rows equal in every column are one document.
     """
     docs = docs.select(COLUMNS)
-    found = near_duplicates(docs, shingle=SHINGLE, percent=PERCENT).filter("NOT kept").select(
-        "doc_id").distinct().withColumn("copy", F.lit(True))
-    return _by_id(docs, found).filter(F.col("copy").isNull()).select(COLUMNS).dropDuplicates()
+    copies = near_duplicates(docs, shingle=SHINGLE, percent=PERCENT).filter("NOT kept").select("doc_id").distinct()
+    # The anti join leaves the rows dealt by id, so dropping equal rows moves nothing again.
+    return docs.join(copies, "doc_id", "left_anti").select(COLUMNS).dropDuplicates()
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
