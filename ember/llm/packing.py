@@ -158,7 +158,7 @@ class Encoder:
                       and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.classes = _class_table()
-        self.limit = 1_000_000
+        self.limit = 500_000
         self._fresh()
 
     def _fresh(self) -> None:

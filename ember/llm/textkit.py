@@ -18,7 +18,7 @@ U64 = np.uint64
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
 
-CHUNK_BYTES = 2 << 20          # text handled at once inside a task
+CHUNK_BYTES = 1 << 20          # text handled at once inside a task
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
