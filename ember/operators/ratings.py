@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ember.functions import AGE_LABELS, GENDER_CODES, age_group, split_list
@@ -75,7 +75,11 @@ def movies_min_count(ratings: DataFrame, movies: DataFrame, min_count: int) -> D
     )
 
 
-def top_by_mean(ratings: DataFrame, movies: DataFrame, min_count: int = 5, n: int = 1) -> DataFrame:
+def _rounded(mean: Column, digits: int | None) -> Column:
+    return mean if digits is None else F.round(mean, digits)
+
+
+def top_by_mean(ratings: DataFrame, movies: DataFrame, min_count: int = 5, n: int = 1, digits: int | None = 2) -> DataFrame:
     """A10: best mean among movies with >= ``min_count`` ratings.
 
     The count threshold applies before the max (T3); ties go to the smaller
@@ -91,7 +95,7 @@ def top_by_mean(ratings: DataFrame, movies: DataFrame, min_count: int = 5, n: in
         with_dimension(stats, movies, "movie_id")
         .orderBy(F.desc("_mean"), F.asc("movie_id"))
         .limit(n)
-        .select("movie_id", "title", F.round("_mean", 2).alias("avg_rating"), "total_ratings")
+        .select("movie_id", "title", _rounded(F.col("_mean"), digits).alias("avg_rating"), "total_ratings")
     )
 
 
@@ -101,7 +105,8 @@ def explode_list(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
     return df.select(*keep, F.explode(split_list(col, sep)).alias(out))
 
 
-def genre_stats(ratings: DataFrame, movies: DataFrame, genre_col: str = "title", sep: str = " ") -> DataFrame:
+def genre_stats(ratings: DataFrame, movies: DataFrame, genre_col: str = "title", sep: str = " ",
+                digits: int | None = 2) -> DataFrame:
     """Mean and count per genre.
 
     Ratings are first reduced to (movie, sum, count); only that small result
@@ -114,7 +119,7 @@ def genre_stats(ratings: DataFrame, movies: DataFrame, genre_col: str = "title",
         per_movie.join(genres, "movie_id")
         .groupBy("genre")
         .agg(
-            F.round(F.sum("_s") / F.sum("_n"), 2).alias("avg_rating"),
+            _rounded(F.sum("_s") / F.sum("_n"), digits).alias("avg_rating"),
             F.sum("_rows").alias("total_ratings"),
         )
     )
@@ -208,7 +213,7 @@ def age_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, digits: i
     return with_dimension(wide, movies, "movie_id").select("movie_id", "title", *AGE_COLUMNS)
 
 
-def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame) -> DataFrame:
+def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame, digits: int | None = 2) -> DataFrame:
     """Mean and count per occupation.
 
     Reduced per user first, so the join with users carries one row per user
@@ -222,7 +227,7 @@ def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFram
         .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_rows").alias("total_ratings"))
     )
     return with_dimension(per_occ, occupations, "occ_id").select(
-        "occupation", F.round(F.col("_s") / F.col("_n"), 2).alias("avg_rating"), "total_ratings")
+        "occupation", _rounded(F.col("_s") / F.col("_n"), digits).alias("avg_rating"), "total_ratings")
 
 
 def by_year(ratings: DataFrame, ts_col: str = "ts", epoch_seconds: bool = False) -> DataFrame:

@@ -27,28 +27,20 @@ def movie_report(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 def best_movie_report(ratings: DataFrame, movies: DataFrame, min_count: int = 5) -> DataFrame:
     """The closing sentence of C1 (zero rows when no movie qualifies)."""
-    stats = (
-        ratings.groupBy("movie_id")
-        .agg(F.avg("rating").alias("_avg"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= min_count)
-    )
-    best = R.with_dimension(stats, movies, "movie_id").orderBy(F.desc("_avg"), "movie_id").limit(1)
+    best = R.top_by_mean(ratings, movies, min_count, digits=None)
     return best.select(
         "movie_id",
         report_line(F.col("title"), " is the highest rated movie with an average rating of ",
-                    two_decimals("_avg"), " among movies with at least ", str(min_count),
+                    two_decimals("avg_rating"), " among movies with at least ", str(min_count),
                     " ratings.").alias("report_line"),
     )
 
 
 def genre_report(ratings: DataFrame, movies: DataFrame, genre_col: str = "title", sep: str = " ") -> DataFrame:
     """``{genre} - AverageRating: {avg:.2f} (TotalRatings: {n})`` per genre."""
-    per_movie = R.sum_count_by(ratings, ["movie_id"], "rating")
-    genres = movies.select("movie_id", F.explode(split_list(genre_col, sep)).alias("genre"))
-    g = per_movie.join(genres, "movie_id").groupBy("genre").agg(
-        (F.sum("_s") / F.sum("_n")).alias("_avg"), F.sum("_rows").alias("_n"))
-    return g.select("genre", report_line(F.col("genre"), " - AverageRating: ", two_decimals("_avg"),
-                                         " (TotalRatings: ", F.col("_n"), ")").alias("report_line"))
+    g = R.genre_stats(ratings, movies, genre_col, sep, digits=None)
+    return g.select("genre", report_line(F.col("genre"), " - AverageRating: ", two_decimals("avg_rating"),
+                                         " (TotalRatings: ", F.col("total_ratings"), ")").alias("report_line"))
 
 
 def gender_report(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
@@ -72,13 +64,10 @@ def age_report(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataF
 
 
 def occupation_report(ratings: DataFrame, users: DataFrame, occupations: DataFrame) -> DataFrame:
-    per_user = R.sum_count_by(ratings, ["user_id"], "rating")
-    per_occ = per_user.join(users.select("user_id", "occ_id"), "user_id").groupBy("occ_id").agg(
-        (F.sum("_s") / F.sum("_n")).alias("_avg"), F.sum("_rows").alias("_n"))
-    return R.with_dimension(per_occ, occupations, "occ_id").select(
+    return R.occupation_stats(ratings, users, occupations, digits=None).select(
         "occupation",
-        report_line(F.col("occupation"), " - AverageRating: ", two_decimals("_avg"),
-                    " (TotalRatings: ", F.col("_n"), ")").alias("report_line"))
+        report_line(F.col("occupation"), " - AverageRating: ", two_decimals("avg_rating"),
+                    " (TotalRatings: ", F.col("total_ratings"), ")").alias("report_line"))
 
 
 def year_report(ratings: DataFrame, ts_col: str = "ts") -> DataFrame:

@@ -92,3 +92,42 @@ def test_hot_key_join_randomized(spark):
         got = sorted(tuple(r) for r in hot_key_join(f_df, d_df, "k", max_hot=5).select("k", "v", "w").collect())
         want = sorted(tuple(r) for r in f_df.join(d_df, "k").select("k", "v", "w").collect())
         assert got == want
+
+
+def test_aqe_splits_a_hot_order_in_the_product_scores(spark):
+    """A third of the items on one order: the join that sees raw items is split, with the same rows."""
+    from ember.operators import retail as RT
+    from ember.session import DEFAULT_CONF
+
+    assert DEFAULT_CONF["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"
+    n = 60000
+    items = spark.range(n).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 9973 + 100).alias("order"),
+                                  (F.xxhash64("id") % 5000).alias("product"))
+    orders = spark.range(12000).select(F.col("id").alias("o"))
+    reviews = spark.range(12000).select(F.col("id").alias("r"), (F.col("id") % 5 + 1).cast("string").alias("score"))
+
+    def scores():
+        return RT.product_scores(items, reviews, orders, item_order_key="order", item_product_key="product",
+                                 review_order_key="r", score="score", order_key="o")
+
+    plain = sorted(tuple(r) for r in scores().collect())
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = scores()
+        assert sorted(tuple(r) for r in df.collect()) == plain
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
