@@ -10,7 +10,7 @@ therefore meet at an offset k < 7 where i+k and j+k are both cover positions,
 so the ``window - 6`` words there are an *aligned anchor* that both documents
 hash, although each hashes only 3 of 7 positions.
 
-1. Each home (a unit of about ``home_bytes`` of text, placed by the hash of
+1. Each home (a unit of 1 to 16 MB of text, placed by the hash of
    the id) sends its distinct anchors, as packed 40-bit prints, to buckets.
    A bucket answers one bit per print: does another home hold it?
 2. Around shared anchors the match is extended: each home sends the distinct
@@ -264,18 +264,21 @@ def _result(ids, counts, removed, texts) -> pa.Table:
         "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())})
 
 
-def substring_dedup(docs: DataFrame, *, window: int = 13, home_bytes: int = 1 << 20,
+def substring_dedup(docs: DataFrame, *, window: int = 13, home_bytes: int | None = None,
                     bucket_prints: int = 1 << 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text, kept_sha256 of every row of ``docs(doc_id, text)``.
 
     ``home_bytes`` of text form one unit of work and ``bucket_prints`` prints
     one bucket; the numbers of both follow from the measured size of the table.
+    By default a home is 1 MB, beyond 16 GB of text a 16,384th of it up to
+    16 MB, so that the rows sent from homes to buckets stay well filled.
     """
     if window < PERIOD + 1:
         raise ValueError(f"window must be over {PERIOD} words")
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    home_bytes = home_bytes or min(16 << 20, max(1 << 20, total >> 14))
     homes = max(1, -(-total // home_bytes))
     # About six bytes a word, three anchors in seven words.
     anchors = max(1, -(-(total // 14) // bucket_prints))
