@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ember.functions import EPOCH_NTZ
 from ember.operators import ratings as R
 from ember.operators import retail as RT
 from ember.session import shared_dir
@@ -34,7 +33,8 @@ def write_ratings_text(spark: SparkSession, sf_dir: str, root: str, faults: bool
     paths: dict[str, list[str] | str] = {"ratings": []}
     part = TD.table(spark, sf_dir, "part").select("p_partkey")
     for i, r in enumerate(TD.rating_files(spark, sf_dir), start=1):
-        r = r.withColumn("ts", F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), F.col("ts")))
+        # The wall-clock time as the session sees it, so the year read back is the year written.
+        r = r.withColumn("ts", F.unix_seconds(F.col("ts").cast("timestamp")))
         lines = _lines(r, ["user_id", "movie_id", "rating", "ts"])
         if faults and i == 1:
             lines = lines.unionByName(part.where(F.col("p_partkey") % BAD_RATING_EVERY == 0).select(
