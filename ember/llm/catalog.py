@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from ember.llm.bitsliced import top_k_products
 from ember.llm.chat import format_conversations, read_back
 from ember.llm.histogram_sort import shard_by_bytes
+from ember.llm.id_store import read_documents, write_store
 from ember.llm.kmeans_tree import nearest
 from ember.llm.langid import fit, identify
 from ember.llm.mixing import mix_sources
 from ember.llm.packing import pack_documents
+from ember.llm.periodic_runs import periodic_runs
 from ember.llm.prefix_tokens import count_tokens
 from ember.llm.setsketch import near_duplicates
 from ember.llm.substring_dedup import substring_dedup
+from ember.llm.textkit import WORD_PATTERN
+from ember.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +91,44 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           with_ids=False)
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text: a tenth of the documents, told by the id's crc32, repeat a stretch of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(WORD_PATTERN), F.lit(0))
+    planted = docs.select("doc_id", F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g")).withColumn(
+        "w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.greatest(F.size("w"), F.lit(1)).cast("long"))
+    planted = planted.withColumn("a", F.col("g") % F.col("n")).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    repeated = F.array_join(F.transform("w", lambda _, i: F.get("w", F.when(
+        i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int"))), " ")
+    return planted.select("doc_id", F.when(F.size("w") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(_read(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    # The first of the runs with the greatest length / period: fractions are compared by products.
+    best = F.when(F.size("runs") > 0, F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda a, b: F.when(
+        b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a)))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    manifest = write_store(docs, _tokenizer("byte_bpe_50k.json"), end_id=0)
+    return read_documents(docs.select("doc_id"), manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_read(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bit_sliced": op2_bit_sliced,
@@ -98,4 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_id_store": op12_id_store,
+    "op13_whitening": op13_whitening,
 }

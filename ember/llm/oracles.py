@@ -59,5 +59,53 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
        CAST(sum(escaped + marks) AS BIGINT) AS formatted_chars
 FROM s GROUP BY conv_id
+""",
+    # Runs by equal five-word windows a period apart; the id's crc32 bit by bit.
+    "op11_periodic_runs": r"""
+WITH s AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, v: xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1)))) AS h
+  FROM documents
+), t AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM s
+), u AS (
+  SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM t
+), d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1]
+    ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE w END AS w
+  FROM u
+), win AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS five
+  FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS i FROM d WHERE n >= 6)
+), pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q
+  FROM win x JOIN win y ON x.doc_id = y.doc_id AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), marked AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 5 + q AS length FROM marked GROUP BY doc_id, q, island
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches
+  WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS txt
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM d) p LEFT JOIN gone USING (doc_id, i)
+  WHERE gone.i IS NULL GROUP BY p.doc_id
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place FROM runs
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS txt
+  FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+  CAST(1000 * b.length // b.period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(l.txt, '')) AS runs_sha256, sha256(coalesce(k.txt, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed l ON d.doc_id = l.doc_id LEFT JOIN best b ON d.doc_id = b.doc_id AND b.place = 1
+  LEFT JOIN kept k ON d.doc_id = k.doc_id
 """,
 }
