@@ -186,6 +186,14 @@ def _pack_visits(table: pa.Table) -> pa.Table:
                      "n_visited": pa.array([np.array([len(s) // 4 for s in seen], np.int64).tobytes()], pa.binary())})
 
 
+def fixed_order_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products added up component by component: equal vectors get equal scores in any company."""
+    total = np.zeros(len(x))
+    for d in range(len(q)):
+        total += q[d] * x[:, d]
+    return total
+
+
 def _score(k: int, dims: int):
     def run(batches):
         for batch in batches:
@@ -204,14 +212,14 @@ def _score(k: int, dims: int):
                     asked = who[np.searchsorted(visited, leaf):np.searchsorted(visited, leaf, side="right")]
                     if len(asked):
                         score[asked, a:b] = q[asked] @ x[a:b].T
+                # The last bits of a matrix product depend on its shape: what may be among the best is scored again.
+                spare = 4 * dims * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1) * (x * x).sum(axis=1).max(initial=0))
                 found = [], [], [], []
                 for i in range(len(q)):
                     s = np.where(ids == q_ids[i], -np.inf, score[i])
-                    if len(s) > k:
-                        edge = np.partition(s, len(s) - k)[len(s) - k]
-                        at = np.flatnonzero((s >= edge) & (s > -np.inf))
-                    else:
-                        at = np.flatnonzero(s > -np.inf)
+                    edge = np.partition(s, len(s) - k)[len(s) - k] - spare[i] if len(s) > k else -np.inf
+                    at = np.flatnonzero((s >= edge) & (s > -np.inf))
+                    s[at] = fixed_order_products(q[i], x[at])
                     at = at[np.lexsort((ids[at], -s[at]))][:k]
                     found[0].append(np.full(len(at), q_ids[i]))
                     found[1].append(np.full(len(at), q_rows[i]))
@@ -224,6 +232,12 @@ def _score(k: int, dims: int):
     return run
 
 
+def padded(rows: DataFrame, dims: int) -> DataFrame:
+    """Shorter vectors are read as if zeros followed."""
+    return rows.withColumn("vec", F.when(F.size("vec") < dims, F.concat(
+        "vec", F.array_repeat(F.lit(0.0), F.lit(dims) - F.size("vec")))).otherwise(F.col("vec")))
+
+
 def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.96, sample_rows: int = 1 << 14,
             block_rows: int = 1 << 13, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest vectors found for every query row (id divisible by 20)."""
@@ -236,9 +250,9 @@ def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.96, sample_row
         return empty
     share = min(1 << 20, (sample_rows << 20) // total + 1)
     sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(1 << 20)) < share)
-    dims = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()["d"]
-    rows = rows.filter(F.size("vec") == dims)
-    picked = sample.filter(F.size("vec") == dims).orderBy("vec_id").select("vec").toArrow()     # about sample_rows
+    dims = rows.agg(F.max(F.size("vec"))).first()[0]
+    sample, rows = padded(sample, dims), padded(rows, dims)
+    picked = sample.orderBy("vec_id").select("vec").toArrow()     # about sample_rows
     points = _vectors(picked.column("vec")) if picked.num_rows else np.zeros((0, dims))
     # Half of the sample shapes the tree, the other half, unseen by it, calibrates the visits.
     tree = Tree(points[::2])

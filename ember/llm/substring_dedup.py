@@ -225,10 +225,10 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     return _reply(table, sizes, later, 2)
 
 
-def _rewrite(window: int, anchor_buckets: int, window_buckets: int):
+def _rewrite(window: int, anchor_buckets: int, window_buckets: int, carry: tuple[str, ...]):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _result([], [], [], [])
+            return _carried(_result([], [], [], []), table, carry)
         home = _Home(table, window)
         found = _Windows(home, replies, anchor_buckets, window_buckets)
         later = _flags(found.bucket, _answers(replies, 2))
@@ -251,11 +251,17 @@ def _rewrite(window: int, anchor_buckets: int, window_buckets: int):
         texts = [kept[a:max(a, b - 1)] for a, b in zip(cut[:-1], cut[1:])]
         removed = np.bincount(w.doc[gone], minlength=table.num_rows)
         ids = [int(i) if v else None for i, v in zip(home.ids, home.valid)]
-        return _result(ids, w.counts, removed, texts)
+        return _carried(_result(ids, w.counts, removed, texts), table, carry)
 
     return run
 
 
+def _carried(result: pa.Table, table: pa.Table, carry: tuple[str, ...]) -> pa.Table:
+    for name in carry:
+        result = result.append_column(name, table.column(name))
+    return result
+
+
 def _result(ids, counts, removed, texts) -> pa.Table:
     return pa.table({
         "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(np.asarray(counts, np.int64)),
@@ -265,9 +271,12 @@ def _result(ids, counts, removed, texts) -> pa.Table:
 
 
 def substring_dedup(docs: DataFrame, *, window: int = 13, home_bytes: int | None = None,
-                    bucket_prints: int = 1 << 20) -> DataFrame:
+                    bucket_prints: int = 1 << 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text, kept_sha256 of every row of ``docs(doc_id, text)``.
 
+    Columns of ``docs`` named in ``carry`` (``text`` too) come back with their own row, so that rows sharing an id
+    need no join.
+
     ``home_bytes`` of text form one unit of work and ``bucket_prints`` prints
     one bucket; the numbers of both follow from the measured size of the table.
     By default a home is 1 MB, beyond 16 GB of text a 16,384th of it up to
@@ -276,7 +285,10 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, home_bytes: int | None
     if window < PERIOD + 1:
         raise ValueError(f"window must be over {PERIOD} words")
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    extra = [c for c in carry if c != "text"]
+    if {"doc_id", "home", "n_words", "n_removed", "kept_text", "kept_sha256"} & set(carry):
+        raise ValueError("carry names a column of the result")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     home_bytes = home_bytes or min(16 << 20, max(1 << 20, total >> 14))
     homes = max(1, -(-total // home_bytes))
@@ -290,4 +302,5 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, home_bytes: int | None
         _send_windows(window, anchors, windows), "bucket long, home long, one binary, two binary, least binary")
     second = sent.groupBy("bucket").applyInArrow(_answer_windows, _REPLY)
     return placed.groupBy("home").cogroup(first.unionByName(second).groupBy("home")).applyInArrow(
-        _rewrite(window, anchors, windows), _RESULT)
+        _rewrite(window, anchors, windows, carry),
+        ", ".join([_RESULT, *(f"`{c}` {placed.schema[c].dataType.simpleString()}" for c in carry)]))

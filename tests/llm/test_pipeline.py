@@ -114,3 +114,43 @@ def test_language_stage_keeps_every_text_with_letters(spark):
     out = P.language(spark, docs, None)
     assert out.exceptAll(docs).count() == 0
     assert docs.exceptAll(out).filter("text rlike '\\\\p{L}'").count() == 0
+
+
+def rows_like(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], SCHEMA)
+
+
+def text_of(word, n=60):
+    return " ".join(f"{word}{j}" for j in range(n))
+
+
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    a, q = text_of("a"), text_of("q")
+    docs = rows_like(spark, [(1, a, "s"), (2, a + " tail", "s"), (2, q, "s"), (None, a + " end", "s"), (None, q, "s")])
+    out = P.cut_repeats(spark, docs, None).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == sorted(
+        [(0, a + " end"), (0, q), (1, a), (2, "tail"), (2, q)])
+
+
+def test_near_dedup_keeps_one_row_of_every_text(spark):
+    x, y = text_of("x"), text_of("y")
+    docs = rows_like(spark, [(3, x, "s"), (5, x, "s"), (5, y, "s"), (7, y, "s"), (7, y, "s"), (None, x, "s"), (None, x, "t")])
+    out = P.near_dedup(spark, docs, None).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][0], r["source"]) for r in out) == [
+        (0, "x", "s"), (0, "x", "t"), (3, "x", "s"), (5, "y", "s")]
+
+
+def test_mix_meets_its_targets_where_ids_are_shared(spark):
+    rows = [(1, text_of(f"b{i}", 40 + i), "b") for i in range(12)] + [(2, "same words", "c")] * 2500 + [
+        (None, text_of(f"c{i}", 30), "c") for i in range(5)] + [(i, text_of(f"a{i}"), "a") for i in range(40)]
+    out = P.mix(spark, rows_like(spark, rows), None).collect()
+    size, got = Counter(), Counter()
+    for _, t, s in rows:
+        size[s] += len(brute.words(t))
+    for r in out:
+        got[r["source"]] += len(brute.words(r["text"]))
+    aim = targets(size)
+    for s in size:
+        assert abs(got[s] - aim[s]) <= max(len(brute.words(t)) for _, t, x in rows if x == s) / 2 + 1
+    many = Counter(r["text"] for r in out)
+    assert all(n <= 2 * Counter(t for _, t, _ in rows)[t] for t, n in many.items())

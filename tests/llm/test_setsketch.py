@@ -158,3 +158,11 @@ def test_components_of_random_graphs(spark):
         loops = {u for u, v in links if u == v} - {x for u, v in links if u != v for x in (u, v)}
         got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
         assert got == {k: v for k, v in want.items() if k not in loops}
+
+
+def test_an_id_on_several_texts_is_one_node(spark):
+    x, y, z = (" ".join(f"{c}{j}" for j in range(50)) for c in "xyz")
+    rows = [(3, x), (5, x), (5, y), (7, y), (9, z), (9, y + " more"), (11, z), (12, None), (12, "other"), (None, x)]
+    out = near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=3, percent=85).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in out) == [
+        (0, None), (3, 3), (5, 3), (5, 3), (7, 3), (9, 3), (9, 3), (11, 3), (12, 12), (12, 12)]

@@ -5,7 +5,7 @@ import pytest
 
 from ember.llm.bitsliced import top_k_products
 from ember.llm.catalog import QUERIES
-from ember.llm.kmeans_tree import nearest
+from ember.llm.kmeans_tree import fixed_order_products, nearest
 from tests.conftest import MEDIUM
 
 SCHEMA = "vec_id long, embedding array<double>"
@@ -118,9 +118,34 @@ def test_neighbours_with_a_small_sample_and_a_hot_leaf(spark):
 def test_neighbours_edges(spark):
     rows = EDGES + [(120, [0.1, 0.2, 0.3])]
     got = grouped(nearest(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS leaf", "'g' AS group")).collect())
-    same = [(i, v) for i, v in EDGES if good(v, False) and i is not None]
+    # A shorter vector is read as if zeros followed.
+    same = [(i, v + [0.0] * (3 - len(v))) for i, v in rows if good(v, False) and i is not None]
     want = brute(same, 20, False, False)
     assert {q: [i for _, i, _ in r] for q, r in got.items()} == {q: [i for _, i, _ in r] for q, r in want.items()}
     assert nearest(spark.createDataFrame([], SCHEMA)).collect() == []
     assert nearest(spark.createDataFrame([(0, [0.0])], SCHEMA)).collect() == []
     assert nearest(spark.createDataFrame([(0, [1.0])], SCHEMA)).collect() == []
+
+
+def test_equal_vectors_score_alike_in_any_company():
+    rng = np.random.default_rng(8)
+    for dims in (3, 17, 64):
+        v, q = rng.normal(size=dims), rng.normal(size=dims)
+        scores = {float(s) for rows in (1, 2, 7, 64, 200) for s in fixed_order_products(q, np.tile(v, (rows, 1)))}
+        assert len(scores) == 1
+
+
+def test_ties_of_equal_vectors_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(30, 64))
+    rows = [(i, base[int(rng.integers(30))].tolist()) for i in range(900)] + [(2000, [1.0, 2.0]), (2020, [0.0, 0.0, 3.0])]
+    out = grouped(nearest(spark.createDataFrame(rows, SCHEMA), k=20, recall=1.0, block_rows=100, query_rows=7).collect())
+    full = np.zeros((len(rows), 64))
+    for r, (_, v) in enumerate(rows):
+        full[r, :len(v)] = v
+    ids = np.array([i for i, _ in rows])
+    assert set(out) == {i for i, _ in rows if i % 20 == 0}
+    for query, found in out.items():
+        s = fixed_order_products(full[ids == query][0], full)
+        order = [r for r in np.lexsort((ids, -s)) if ids[r] != query][:20]
+        assert [(i, x) for _, i, x in found] == [(int(ids[r]), float(s[r])) for r in order]
