@@ -26,12 +26,14 @@ from ember.llm.substring_dedup import substring_dedup
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE, PERCENT = 5, 80
 WINDOW = 40                    # words that must repeat before a passage is cut
+PORTION = 1000                 # copies of one row written by one task at most
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def _by_id(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the columns of ``found``, which has one row an id; null ids match each other."""
-    return docs.alias("d").join(found.withColumnRenamed("doc_id", "found_id"), F.expr("d.doc_id <=> found_id"), "left").drop("found_id")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row_key``, a 64-bit hash of the whole row: rows that share an id are told apart, equal rows are one."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in COLUMNS] + [F.col(c).isNull() for c in COLUMNS]
+    return docs.select(*COLUMNS, F.xxhash64(*told).alias("row_key"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,41 +51,54 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every near-duplicate group.
+    """Keep one row of every near-duplicate group: that with the smallest id, between equal ids any one, always the same.
 
-    Rows with a null id stay; rows equal in every column are one document.
+    Rows are grouped by their texts alone: rows that share an id but not a text are not linked by it.  Rows with a
+    null id stay; rows equal in every column are one document.
     """
-    docs = docs.select(COLUMNS)
-    copies = near_duplicates(docs, shingle=SHINGLE, percent=PERCENT).filter("NOT kept").select("doc_id").distinct()
-    # The anti join leaves the rows dealt by id, so dropping equal rows moves nothing again.
-    return docs.join(copies, "doc_id", "left_anti").select(COLUMNS).dropDuplicates()
+    docs = _keyed(docs)
+    found = near_duplicates(docs.filter("doc_id IS NOT NULL").select(F.col("row_key").alias("doc_id"), "text"),
+                            shingle=SHINGLE, percent=PERCENT)
+    linked = found.filter("NOT kept").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    # A group's smallest key is the only member that is "kept"; the group's ids then name the row that stays.
+    members = staged(linked.unionByName(linked.select(F.col("component_id").alias("row_key"), "component_id").distinct())
+                     .join(docs.select("row_key", F.col("doc_id").cast("long").alias("doc_id")).distinct(), "row_key"), "groups")
+    stays = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("first"))
+    copies = members.join(stays, "component_id").filter("row_key <> first.row_key").select("row_key")
+    # The anti join leaves the rows dealt by key, so dropping equal rows moves nothing again.
+    return docs.join(copies, "row_key", "left_anti").dropDuplicates(["row_key", *COLUMNS]).select(COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of ``WINDOW`` words that an earlier document holds; a document of which nothing is left goes.
+    """Cut passages of ``WINDOW`` words that a document with a smaller id holds; a document of which nothing is left goes.
 
-    Texts that lose nothing are kept byte for byte; a cut text is its kept words joined by spaces.
+    Texts that lose nothing are kept byte for byte; a cut text is its kept words joined by spaces.  Every row is
+    cut on its own, also where rows share an id.
     """
-    docs = docs.select(COLUMNS)
-    cut = substring_dedup(docs, window=WINDOW).filter("n_removed > 0").select(
-        F.col("doc_id"), "kept_text", "n_words", "n_removed").dropDuplicates(["doc_id"])
-    joined = _by_id(docs, cut)
-    some = F.col("n_removed").isNotNull()
+    cut = substring_dedup(docs.select(COLUMNS), window=WINDOW, carry=("text", "lang", "source", "n_chars"))
+    some = F.col("n_removed") > 0
     text = F.when(some, F.col("kept_text")).otherwise(F.col("text"))
-    return joined.filter(~some | (F.col("n_removed") < F.col("n_words"))).withColumn("text", text).withColumn(
+    return cut.filter(~some | (F.col("n_removed") < F.col("n_words"))).withColumn("text", text).withColumn(
         "n_chars", F.when(some, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat every document as often as the mix takes it (0 to 2 times).
 
-    Rows that share an id, a source and a size are taken alike, as often as the one taken most.
+    The mix decides row by row; of rows that are equal in every column as many come out as it takes of them together.
     """
-    docs = docs.select(COLUMNS)
-    taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).groupBy(
-        "doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
-    return (_by_id(docs, taken).filter(F.col("copies").isNotNull())
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(COLUMNS))
+    docs = _keyed(docs)
+    taken = mix_sources(docs.select(F.col("row_key").alias("doc_id"), "text", "source")).groupBy(
+        F.col("doc_id").alias("row_key")).agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("equal"))
+    taken = staged(taken.filter("copies > 0"), "mix-taken")
+    rows = docs.join(taken, "row_key")
+    alone = rows.filter("equal = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # Equal rows meet as one and are repeated in portions, however many there are.
+    same = rows.filter("equal > 1").dropDuplicates(["row_key", *COLUMNS]).withColumn("portion", F.explode(
+        F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / PORTION).cast("int")))).repartition("row_key", "portion")
+    same = same.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(
+        F.lit(PORTION), F.col("copies") - F.col("portion") * PORTION))))
+    return alone.select(COLUMNS).unionByName(same.select(COLUMNS))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
