@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ember.functions import b64encode, iso_time, now_millis
 from ember.schemas import PACKET_CONSUMER, PACKET_FULL
+from ember.storage import written
 
 # Spark's JSON reader stops at 20 million characters a string unless told otherwise.
 ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
@@ -116,3 +117,20 @@ def in_camera_order(df: DataFrame, camera_col: str = "camera_id", frame_col: str
     reading the partitions in order gives every camera's frames in order.
     """
     return df.repartitionByRange(camera_col, frame_col).sortWithinPartitions(camera_col, frame_col)
+
+
+def camera_positions(df: DataFrame, camera_col: str = "camera_id", frame_col: str = "frame_number") -> DataFrame:
+    """W7 as a column: ``position`` (from 0) of every row in its camera's order by frame number.
+
+    Rows are numbered inside their range partition; one row a partition and camera says how many came before.
+    No camera is sorted in one task.  Equal (camera, frame) rows take neighbouring positions.
+    """
+    at = F.monotonically_increasing_id()
+    ordered = written(in_camera_order(df, camera_col, frame_col).withColumn("_at", at), "camera-order")
+    part = F.shiftright("_at", 33)
+    here = ordered.groupBy(F.col(camera_col).alias("_camera"), part.alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_camera").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    here = here.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    joined = ordered.join(here, ordered[camera_col].eqNullSafe(here["_camera"]) & (part == here["_part"]))
+    return joined.withColumn("position", F.col("_before") + F.col("_at") - F.col("_first")).select(*df.columns, "position")

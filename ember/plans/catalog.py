@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from ember.functions import age_group, b64decode, b64encode_text, epoch_millis, frame_filename, two_decimals
 from ember.operators import frames as FR
+from ember.operators import maintained as MT
 from ember.operators import metrics as M
 from ember.operators import packets as P
 from ember.operators import quality as Q
 from ember.operators import ratings as R
 from ember.operators import report as RP
 from ember.operators import retail as RT
+from ember.session import shared_dir
 from ember.sources import testdata as TD
+from ember.sources.frame_files import read_output_files, write_frame_files
 from ember.plans import streams as ST
 from ember.plans import textfiles as TF
 
@@ -391,6 +394,68 @@ def segment_frames(spark, d):
     return _channel_sums(FR.segment_frames(TD.embedding_frames(spark, d), _weighted_segmenter))
 
 
+# ------------------------------------------------- kept up to date by merging
+
+INCREMENTS = 4             # the ratings arrive as so many files
+
+
+def _maintained_ratings(spark, d) -> MT.MaintainedRatings:
+    kept = MT.MaintainedRatings(spark, shared_dir(spark, "kept-ratings"))
+    rows = _ratings(spark, d)
+    for i in (*range(INCREMENTS), 1):                                # the second file is sent twice
+        kept.add(f"ratings-{i}", rows.filter(F.pmod("user_id", F.lit(INCREMENTS)) == i))
+    return kept
+
+
+def movie_stats_maintained(spark, d):
+    return _maintained_ratings(spark, d).movie_stats(TD.movies(spark, d))
+
+
+def genre_stats_maintained(spark, d):
+    return _maintained_ratings(spark, d).genre_stats(TD.movies(spark, d))
+
+
+def occupation_stats_maintained(spark, d):
+    return _maintained_ratings(spark, d).occupation_stats(TD.users(spark, d), TD.occupations(spark, d))
+
+
+def entity_counts_maintained(spark, d):
+    """C7 from bitmaps; the items come in two inputs, one of them twice."""
+    kept = MT.DistinctIds(spark, shared_dir(spark, "kept-ids"))
+    items = TD.table(spark, d, "lineitem")
+    early = F.col("l_linenumber") <= TD.RATING_FILE_SPLIT_LINE
+    for name, rows, col in (("orders", TD.table(spark, d, "orders"), "o_orderkey"),
+                            ("customers", TD.table(spark, d, "customer"), "c_custkey"),
+                            ("sellers", items.filter(early), "l_suppkey"), ("sellers-late", items.filter(~early), "l_suppkey"),
+                            ("sellers", items.filter(early), "l_suppkey")):
+        kept.add(name, rows, {name.split("-")[0]: col})
+    return kept.one_row({"total_orders": "orders", "total_customers": "customers", "total_sellers": "sellers"})
+
+
+# ------------------------------------------------------- frames and their files
+
+def frame_gaps(spark, d):
+    """V4: the frame numbers each camera lacks, from 0 to its last one."""
+    return Q.frame_gaps(TD.table(spark, d, "events"), "event_type", "event_id", first=0)
+
+
+def frames_in_order(spark, d):
+    """Every frame's place in its camera's order."""
+    events = TD.table(spark, d, "events").select(F.col("event_type").alias("camera_id"), F.col("event_id").alias("frame_number"))
+    return P.camera_positions(events)
+
+
+def output_check(spark, d):
+    """V2, V3: the check of an output folder that lacks every fifth frame and holds the ones after those without alpha."""
+    raw = TD.embedding_frames(spark, d, with_camera=True).withColumn("filename", frame_filename("camera_id", "frame_id"))
+    keyed = FR.chroma_key_frames(raw, ("frame_id", "filename"))
+    rest = F.col("frame_id") % 5
+    path = f"{shared_dir(spark, 'outputs')}/png"
+    cols = ["filename", "height", "width", "nChannels", "data"]
+    write_frame_files(keyed.filter(rest > 1).select(cols).unionByName(raw.filter(rest == 1).select(cols)), path)
+    return Q.validate_output_files(raw.select("filename"), read_output_files(spark, path), TD.FRAME_SIDE, TD.FRAME_SIDE)
+
+
 QUERIES: dict[str, Query] = {
     "movie_stats": movie_stats,
     "movie_stats_text": TF.movie_stats_text,
@@ -464,6 +529,21 @@ QUERIES: dict[str, Query] = {
     "frame_stream": ST.frame_stream,
     "frame_stream_faults": ST.frame_stream_faults,
     "frame_resend": ST.frame_resend,
+    "stream_ingest_log": ST.stream_ingest_log,
+    "stream_log_batches": ST.stream_log_batches,
+    "stream_log_latest": ST.stream_log_latest,
+    "frame_latest_state": ST.frame_latest_state,
+    "frame_files": ST.frame_files,
+    "output_check": output_check,
+    "frame_gaps": frame_gaps,
+    "frames_in_order": frames_in_order,
+    "movie_stats_maintained": movie_stats_maintained,
+    "genre_stats_maintained": genre_stats_maintained,
+    "occupation_stats_maintained": occupation_stats_maintained,
+    "entity_counts_maintained": entity_counts_maintained,
+    "stream_throughput": ST.stream_throughput,
+    "stream_histogram": ST.stream_histogram,
+    "stream_silent_cameras": ST.stream_silent_cameras,
     "segment_alpha": segment_alpha,
     "segment_frames": segment_frames,
 }

@@ -193,6 +193,26 @@ STATEMENTS["frame_stream"] = f"""SELECT 'cam' || CAST(label AS VARCHAR) AS camer
 FROM embeddings JOIN (SELECT frame_id, CAST(sum(alpha) AS BIGINT) AS alpha_sum FROM ({STATEMENTS["chroma_key_alpha"]}) GROUP BY frame_id) s
 ON vec_id = s.frame_id"""
 
+# The same questions answered through a message log, kept tables or files.
+for _kept, _plain in (("stream_ingest_log", "stream_ingest"), ("stream_throughput", "camera_throughput"), ("stream_histogram", "latency_histogram"),
+                      ("frame_latest_state", "frame_resend"), ("movie_stats_maintained", "movie_stats"), ("genre_stats_maintained", "genre_stats"),
+                      ("occupation_stats_maintained", "occupation_stats"), ("entity_counts_maintained", "entity_counts")):
+    STATEMENTS[_kept] = STATEMENTS[_plain]
+STATEMENTS["stream_log_latest"] = STATEMENTS["stream_ingest"] + " WHERE event_id % 5 > 2"
+STATEMENTS["stream_log_batches"] = """SELECT b AS batch_id, least(cap, n - b * cap) AS processed
+FROM (SELECT count(*) AS n, (count(*) + 7) // 8 AS cap FROM events), range(8) AS t(b) WHERE b * cap < n"""
+STATEMENTS["stream_silent_cameras"] = """SELECT camera_id, last_ms, now_ms - last_ms AS idle_ms FROM
+(SELECT event_type AS camera_id, max(epoch_us(ts) // 1000) AS last_ms, max(max(epoch_us(ts) // 1000)) OVER () AS now_ms FROM events GROUP BY 1) WHERE now_ms - last_ms > 60000"""
+_FILE = "'cam' || CAST(label AS VARCHAR) || '_' || printf('%06d', vec_id) || '.png'"
+STATEMENTS["frame_files"] = f"""SELECT {_FILE} AS filename, 8 AS width, 8 AS height, 4 AS channels FROM embeddings"""
+STATEMENTS["output_check"] = f"""SELECT filename, message, message LIKE 'Valid image%' AS is_valid FROM (SELECT {_FILE} AS filename,
+  CASE vec_id % 5 WHEN 0 THEN 'File not found: ' || {_FILE} WHEN 1 THEN 'Expected BGRA (4 channels), got 3' ELSE 'Valid image: (8, 8, 4)' END AS message FROM embeddings)"""
+STATEMENTS["frame_gaps"] = """SELECT camera_id, before + 1 AS first_missing, event_id - 1 AS last_missing, event_id - 1 - before AS length FROM
+(SELECT event_type AS camera_id, event_id, coalesce(lag(event_id) OVER (PARTITION BY event_type ORDER BY event_id), -1) AS before FROM (SELECT DISTINCT event_type, event_id FROM events))
+WHERE event_id - before > 1"""
+STATEMENTS["frames_in_order"] = """SELECT event_type AS camera_id, event_id AS frame_number,
+  row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS position FROM events"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: PRELUDE + "\n" + sql for name, sql in STATEMENTS.items()}

@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ember.functions import epoch_millis
+from ember.images import png_header
+from ember.operators.maintained import RunningCounters
 from ember.operators.packets import decode_packets, frames_to_packets
 from ember.session import shared_dir
 from ember.sources import testdata as TD
+from ember.sources.frame_files import read_output_files
+from ember.sources.message_log import append_messages, message_log_source
 from ember import streaming as S
 from ember.streaming import frames as SF
 
@@ -182,3 +187,141 @@ def frame_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
     _run_frames(spark, root)
     return SF.latest_output(spark, root).select(
         "camera_id", "filename", "timestamp_ms", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+# ------------------------------------------------------------- message log
+
+# The registered queries read their log in so many batches: the row cap follows from the size of the table.
+LOG_BATCHES = 8
+
+
+def _log_cap(messages: DataFrame) -> int:
+    return max(1, -(-messages.count() // LOG_BATCHES))
+
+
+def _run_log(spark: SparkSession, root: str, starting: str, cap: int | None) -> None:
+    msgs = message_log_source(spark, f"{root}/log", starting_offsets=starting, max_rows_per_trigger=cap)
+    decoded = S.observe_ingest(S.decode_stream(msgs, EVENT_MESSAGE, keep=("partition",)))
+    writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", _process)
+    S.drain(S.run_stream(decoded, writer, f"{root}/checkpoint", trigger="0 seconds"))
+
+
+def _early(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages of the first source partitions, and the others, which are sent later."""
+    first = F.col("partition") <= STAGE_PARTITIONS // 2
+    return messages.filter(first), messages.filter(~first)
+
+
+def stream_ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through the message log, so many rows a batch, with a restart between two appends."""
+    root = shared_dir(spark, "log-stream")
+    msgs = event_messages(spark, sf_dir)
+    cap = _log_cap(msgs)
+    for part in _early(msgs):
+        append_messages(part, f"{root}/log")
+        _run_log(spark, root, "earliest", cap)
+    return _read_out(spark, root)
+
+
+def stream_log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every micro-batch under the row cap."""
+    root = shared_dir(spark, "log-stream")
+    msgs = event_messages(spark, sf_dir)
+    append_messages(msgs, f"{root}/log")
+    _run_log(spark, root, "earliest", _log_cap(msgs))
+    return S.batch_counts(spark, f"{root}/counts").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def stream_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at ``latest`` skips what was there, and what it skipped stays skipped after a restart."""
+    root = shared_dir(spark, "log-stream")
+    for part in _early(event_messages(spark, sf_dir)):
+        append_messages(part, f"{root}/log")
+        _run_log(spark, root, "latest", None)
+    return _read_out(spark, root)
+
+
+# -------------------------------------------------------- running counters
+
+COUNTER_MESSAGE = T.StructType([
+    T.StructField("camera_id", T.StringType()),
+    T.StructField("timestamp_ms", T.LongType()),
+    T.StructField("value", T.DoubleType()),
+])
+LATENCY_BOUNDS = (1, 10, 50, 100)
+SILENT_MS = 60_000
+
+
+def _counters(spark: SparkSession, sf_dir: str) -> RunningCounters:
+    """Counters of a stream over all events, with a restart in the middle."""
+    root = shared_dir(spark, "counters")
+    body = F.struct(F.col("event_type").alias("camera_id"), epoch_millis("ts", True).alias("timestamp_ms"), "value")
+    msgs = TD.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("key"), F.to_json(body).alias("value"),
+        (F.col("event_id") % STAGE_PARTITIONS).cast("int").alias("partition"))
+    counters = RunningCounters(spark, root, LATENCY_BOUNDS)
+    cap = -(-_log_cap(msgs) * LOG_BATCHES // 4)
+    for part in _early(msgs):
+        append_messages(part, f"{root}/log")
+        source = message_log_source(spark, f"{root}/log", starting_offsets="earliest", max_rows_per_trigger=cap)
+        decoded = decode_packets(source, "value", COUNTER_MESSAGE)
+        q = S.run_stream(decoded, lambda df, i: counters.add_batch(df, i, stage="camera_id", value="value"),
+                         f"{root}/checkpoint", trigger="0 seconds")
+        S.drain(q)
+    return counters
+
+
+def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A19, W8 on the stream."""
+    return _counters(spark, sf_dir).throughput()
+
+
+def stream_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W11 on the stream."""
+    return _counters(spark, sf_dir).histogram.read()
+
+
+def stream_silent_cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cameras without a frame for a minute when the last one of all came."""
+    counters = _counters(spark, sf_dir)
+    now = counters.rates.read().agg(F.max("last_ms")).first()[0]
+    return counters.silent(now or 0, SILENT_MS)
+
+
+# ------------------------------------------------------------ frame output
+
+def frame_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W9 as a kept state: frames sent again later replace the first ones; a batch that runs again changes nothing."""
+    root = shared_dir(spark, "latest")
+    latest = SF.LatestFrames(spark, f"{root}/latest", least_rows=100)
+    msgs = frame_messages(spark, sf_dir)
+    number = F.get_json_object("value", "$.frame_number").cast("bigint")
+    again = msgs.where(number % 3 == 0).withColumn("value", F.regexp_replace(
+        "value", '"timestamp_ms":[0-9]+', F.concat(F.lit('"timestamp_ms":'), (number + 1000).cast("string"))))
+    for part in (msgs, again):
+        stage(part, f"{root}/staged")
+        _run_latest(spark, root, root, latest)
+    _run_latest(spark, root, f"{root}/replay", latest)
+    return latest.read().select("camera_id", "filename", "timestamp_ms", "batch_id")
+
+
+def _run_latest(spark: SparkSession, root: str, run: str, latest: SF.LatestFrames) -> None:
+    q = SF.run_frame_stream(spark, S.file_message_source(spark, f"{root}/staged"), run, available_now=True, store=latest.store)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the stream's frames as one file each, told from the files' own headers."""
+    root = shared_dir(spark, "frame-files")
+    stage(frame_messages(spark, sf_dir), f"{root}/staged")
+    q = SF.run_frame_stream(spark, S.file_message_source(spark, f"{root}/staged"), root, available_now=True,
+                            store=SF.frame_file_store(f"{root}/png"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    files = read_output_files(spark, f"{root}/png")
+    head = png_header(F.col("content"))
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), head.alias("h")).select(
+        "filename", "h.width", "h.height", "h.channels")

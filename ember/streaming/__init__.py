@@ -165,13 +165,16 @@ class BatchLineListener(StreamingQueryListener):
 
 def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
                   process: Callable[[DataFrame], DataFrame] | None = None,
-                  count_by: tuple[str, ...] = ("partition",)) -> Callable[[DataFrame, int], None]:
+                  count_by: tuple[str, ...] = ("partition",),
+                  store: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """The per-batch function for ``foreachBatch``.
 
     Per batch: good rows (optionally through ``process``) to
     ``out/batch_id=N``, malformed ones (if any) to ``dead/batch_id=N``, and
     the count of processed rows per source partition to ``counts/batch_id=N``.  Every
-    write overwrites its batch folder, so a replay is idempotent.  An error is
+    write overwrites its batch folder, so a replay is idempotent.  ``store``
+    takes the good rows of a batch elsewhere (a ``MergeTable``, frame files) and
+    has to bear a replay of the same batch id itself.  An error is
     raised, not swallowed: the batch is then not committed and is retried,
     where the reference lost it (T19).
     """
@@ -192,7 +195,10 @@ def ingest_writer(out_path: str, dead_letter_path: str, counts_path: str,
             if process is not None:
                 good = process(good)
             good = good.persist()
-            good.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            if store is not None:
+                store(good, batch_id)
+            else:
+                good.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if probe["bad"]:
                 bad.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
             keys = [c for c in count_by if c in good.columns]
@@ -224,3 +230,16 @@ def run_stream(
     else:
         w = w.trigger(processingTime=trigger or DEFAULT_TRIGGER)
     return w.start()
+
+
+def drain(query) -> None:
+    """Run a started query until its source has nothing new, stop it, and raise what it failed with.
+
+    Unlike ``available_now`` this obeys the row cap of any source: as many batches as it takes.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))

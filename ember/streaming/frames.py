@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 
 from ember import streaming as S
 from ember.functions import b64decode, frame_filename
+from ember.merge_table import MergeTable
 from ember.operators import frames as FR
 from ember.sinks import last_writes
+from ember.sources.frame_files import write_frame_files
 
 # The consumer's packet fields for frame processing (pixel size included so
 # raw BGR payloads can be shaped without an image codec).
@@ -61,10 +63,11 @@ def frame_processor(make_segmenter: Callable | None = None) -> Callable[[DataFra
 def run_frame_stream(
     spark: SparkSession, messages: DataFrame, root: str, *,
     make_segmenter: Callable | None = None, available_now: bool = False, trigger: str | None = None,
+    store: Callable[[DataFrame, int], None] | None = None,
 ):
-    """Start the frame job: decode -> process -> ``root/out|dead|counts``."""
+    """Start the frame job: decode -> process -> ``root/out|dead|counts``, or ``store`` in place of ``out``."""
     decoded = S.observe_ingest(S.decode_stream(messages, FRAME_PACKET, keep=("partition",)))
-    writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", frame_processor(make_segmenter))
+    writer = S.ingest_writer(f"{root}/out", f"{root}/dead", f"{root}/counts", frame_processor(make_segmenter), store=store)
     return S.run_stream(decoded, writer, f"{root}/checkpoint", available_now=available_now, trigger=trigger)
 
 
@@ -77,3 +80,37 @@ def latest_output(spark: SparkSession, root: str) -> DataFrame:
     """
     out = spark.read.parquet(f"{root}/out")
     return last_writes(out, ("camera_id", "filename"), ("timestamp_ms", "batch_id"))
+
+
+LATEST_SCHEMA = ("camera_id string, filename string, frame_number int, timestamp_ms long, batch_id long, status string, "
+                 "height int, width int, nChannels int, data binary")
+
+
+class LatestFrames:
+    """W9 as a kept state: the newest write of every (camera, file name), whatever the number of batches.
+
+    ``store`` belongs into ``run_frame_stream``: a batch's frames are reduced to the last per key and merged into a
+    table, so reading costs the live keys and a bounded share of newer rows, and a batch that runs again counts once.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, **table_options):
+        self.table = MergeTable(spark, root, LATEST_SCHEMA, lambda rows: last_writes(
+            rows, ("camera_id", "filename"), ("timestamp_ms", "batch_id")), **table_options)
+
+    def store(self, frames: DataFrame, batch_id: int) -> None:
+        self.table.add(f"batch-{batch_id}", frames.withColumn("batch_id", F.lit(batch_id).cast("long")))
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
+def frame_file_store(path: str) -> Callable[[DataFrame, int], None]:
+    """K6: a ``store`` that publishes every batch's frames as files named by camera and number.
+
+    A batch's files become visible together, at its end; a batch that runs again replaces its own files.
+    """
+
+    def store(frames: DataFrame, batch_id: int) -> None:
+        write_frame_files(last_writes(frames, ("camera_id", "filename"), ("timestamp_ms",)), path)
+
+    return store
