@@ -325,10 +325,16 @@ def _cross_blocks(members: DataFrame, block: int) -> DataFrame:
         "task", "cluster", "component", "doc_id", F.col("side").cast("long").alias("side"), "text")
 
 
-def _shared_id_links(usable: DataFrame, classes: DataFrame, prints: list[str]) -> DataFrame:
-    """An id on several texts joins their classes: links (u, v) from its smallest class head to the others."""
-    same = [F.struct(*prints)]
-    several = usable.groupBy("doc_id").agg((F.min(*same) < F.max(*same)).alias("several")).filter("several").select("doc_id")
+def _shared_id_links(usable: DataFrame, classes: DataFrame, prints: list[str]) -> DataFrame | None:
+    """An id on several texts joins their classes: links (u, v) from its smallest class head to the others.
+
+    None where every id has one text: then one narrow aggregation is all this costs.
+    """
+    same = F.struct(*prints)
+    several = staged(usable.groupBy("doc_id").agg((F.min(same) < F.max(same)).alias("several")).filter("several").select("doc_id"),
+                     "shared-ids")
+    if several.isEmpty():
+        return None
     heads = usable.select("doc_id", *prints).join(several, "doc_id", "left_semi").join(classes, prints).select("doc_id", "first_id")
     least = heads.groupBy("doc_id").agg(F.min("first_id").alias("u"))
     return heads.join(least, "doc_id").select("u", F.col("first_id").alias("v")).filter("u <> v").distinct()
@@ -375,8 +381,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, blo
     dealt = dealt.withColumn("task", F.explode("task")).select(
         "task", "cluster", F.col("doc_id").alias("component"), "doc_id", F.lit(0).cast("long").alias("side"), "text")
     run = _solved(shingle, percent)
-    links = staged(dealt.groupBy("task").applyInArrow(run, "u long, v long").unionByName(
-        _shared_id_links(usable, classes, prints)), "verified")
+    links = dealt.groupBy("task").applyInArrow(run, "u long, v long")
+    shared = _shared_id_links(usable, classes, prints)
+    links = staged(links if shared is None else links.unionByName(shared), "verified")
     found = staged(connected_components(links), "found")
     # Large clusters that are still in several components: compare across them.
     big = members.filter(F.col("size") > block)
