@@ -163,7 +163,7 @@ class Encoder:
 
     def _fresh(self) -> None:
         self.cache = K.SpanCache(self.limit)
-        self.flat, self.offset = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.flat, self.offset = K.Grown(np.uint32), K.Grown(np.int64, [0])
 
     @classmethod
     def get(cls, path: str) -> Encoder:
@@ -204,7 +204,7 @@ class Encoder:
         kind[closing] = END
         starts = np.flatnonzero(pretoken_bounds(points, kind))
         ends = np.append(starts[1:], len(points))
-        if len(self.cache.keys) >= self.limit:
+        if self.cache.full():
             self._fresh()
         key = K.span_hashes(raw + b"\0" * 8, starts * 4, ends * 4)
         is_end = kind[starts] == END
@@ -220,15 +220,16 @@ class Encoder:
                     [joined[a:b] for a, b in zip(starts[spans].tolist(), ends[spans].tolist())],
                     add_special_tokens=False)):
                 found[k] = e.ids
-            base = len(self.offset) - 1
+            base = self.offset.size - 1
             row[missing] = np.arange(base, base + len(missing))
             self.cache.add(uniq[missing], row[missing])
-            self.offset = np.concatenate([self.offset, self.offset[-1] + np.cumsum([len(f) for f in found])])
-            self.flat = np.concatenate([self.flat, np.array([i for f in found for i in f], np.uint32)])
+            self.offset.append(self.flat.size + np.cumsum([len(f) for f in found]))
+            self.flat.append(np.array([i for f in found for i in f], np.uint32))
+        flat, offset = self.flat.view(), self.offset.view()
         row = row[inverse]
-        size = self.offset[row + 1] - self.offset[row]
+        size = offset[row + 1] - offset[row]
         at = np.cumsum(size)
-        ids = self.flat[np.arange(at[-1]) + np.repeat(self.offset[row] - at + size, size)]
+        ids = flat[np.arange(at[-1]) + np.repeat(offset[row] - at + size, size)]
         return ids, np.r_[0, at[is_end]]
 
 

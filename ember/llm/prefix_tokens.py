@@ -14,8 +14,11 @@ No piece of the vocabulary has the space mark after another character, so
 prefixes of a text are whole segments (spaces and the run behind them) plus a
 prefix of one segment.  Segments repeat: each distinct one gets its prefix
 table once per worker (a bounded cache), and a text's table is the running
-sum over its segments.  A character outside the vocabulary counts as its
-UTF-8 bytes (byte fallback).
+sum over its segments.  The new segments of a slice advance together: a trie
+of the reversed vocabulary, held as arrays, gives every token that ends at
+every position, and the programme takes one array step for each (position,
+token length).  A character outside the vocabulary counts as its UTF-8 bytes
+(byte fallback).
 
 Defined cases: null and empty texts have 0 tokens; null ids are kept; strings
 that look like control tokens are ordinary text, as the library treats them;
@@ -34,6 +37,7 @@ from ember.session import ship_package
 
 MARK = "▁"
 LONG_SEGMENT = 64             # longer segments are not kept in the cache
+PAIRS = 500_000               # remembered pairs; beyond, they are found again
 
 
 class PrefixBpe:
@@ -49,7 +53,23 @@ class PrefixBpe:
             raise ValueError("the vocabulary has a space mark inside a piece: segments are not independent")
         self.longest = max(map(len, self.score))
         self.own = {p for p in self.score if len(p) == 1 or self._merge(p) == [p]}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.names = sorted(self.own)
+        self._reversed_trie()
+
+    def _reversed_trie(self) -> None:
+        """Edges ``node << 21 | character`` in order, their children, and the token that ends a path."""
+        edges: dict[int, int] = {}
+        token = {}
+        for t, name in enumerate(self.names):
+            node = 0
+            for c in reversed(name):
+                node = edges.setdefault(node << 21 | ord(c), len(edges) + 1)
+            token[node] = t
+        self.edge = np.array(sorted(edges), np.int64)
+        self.child = np.array([edges[e] for e in self.edge.tolist()], np.int64)
+        self.token = np.full(len(edges) + 1, -1, np.int64)
+        self.token[list(token)] = list(token.values())
 
     def _merge(self, text: str) -> list[str]:
         """The BPE merges of a short string: best score first, leftmost on ties."""
@@ -65,19 +85,87 @@ class PrefixBpe:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fits(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > 500_000:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._merge(left + right) == [left, right]
-        return known
+    def _name(self, token: int) -> str:
+        """A token's text; tokens from ``len(names)`` are characters outside the vocabulary."""
+        return self.names[token] if token < len(self.names) else chr(token - len(self.names))
+
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each pair of neighbouring tokens encodes to itself."""
+        keys = (left << 32 | right).tolist()
+        known = self.pairs
+        if len(known) > PAIRS:
+            known.clear()
+        for key in set(keys).difference(known):
+            a, b = self._name(key >> 32), self._name(key & 0xFFFFFFFF)
+            known[key] = self._merge(a + b) == [a, b]
+        return np.fromiter(map(known.__getitem__, keys), bool, len(keys))
+
+    def _ending(self, chars: np.ndarray, place: np.ndarray):
+        """Every token that ends at a character: (index of the character, length, token), in array parts."""
+        ends, node, width = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
+        found = []
+        single = np.zeros(len(chars), bool)
+        while len(ends):
+            key = node << 21 | chars[ends - width]
+            at = np.searchsorted(self.edge, key)
+            at[at == len(self.edge)] = 0
+            hit = self.edge[at] == key
+            ends, node, width = ends[hit], self.child[at[hit]], width + 1
+            token = self.token[node]
+            is_token = token >= 0
+            found.append((ends[is_token], np.full(int(is_token.sum()), width), token[is_token]))
+            if width == 1:
+                single[found[0][0]] = True
+            longer = place[ends] >= width
+            ends, node = ends[longer], node[longer]
+        odd = np.flatnonzero(~single)
+        found.append((odd, np.ones(len(odd), np.int64), len(self.names) + chars[odd]))
+        return [np.concatenate(part) for part in zip(*found)]
+
+    def many(self, chars: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """``prefixes`` of segments that lie one behind another in ``chars`` (code points, marks for spaces)."""
+        chars = chars.astype(np.int64)
+        place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        end, width, token = self._ending(chars, place)
+        order = np.lexsort((-width, place[end]))
+        end, width, token = end[order], width[order], token[order]
+        step = place[end] << 32 | width
+        cuts = np.flatnonzero(np.diff(step, prepend=-1, append=-1))
+        cost = np.where(token < len(self.names), 1, 1 + (chars[end] > 0x7F) + (chars[end] > 0x7FF) + (chars[end] > 0xFFFF))
+        count, last = np.zeros(len(chars), np.int32), np.full(len(chars), -1, np.int64)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            w = int(width[a])
+            open_ = np.flatnonzero(last[end[a:b]] < 0) + a          # no longer token has been taken there
+            at, new, more = end[open_], token[open_], cost[open_]
+            if int(place[end[a]]) == w - 1:
+                count[at], last[at] = more, new
+                continue
+            before = at - w
+            fits = new >= len(self.names)
+            known = np.flatnonzero(~fits)
+            fits[known] = self._fit(last[before[known]], new[known])
+            at, before = at[fits], before[fits]
+            count[at], last[at] = count[before] + more[fits], new[fits]
+        return count
 
     def prefixes(self, segment: str) -> list[int]:
-        """Tokens of ``segment[:i]`` for every i from 1; spaces are already marks."""
+        """Tokens of ``segment[:i]`` for every i from 1; spaces are already marks.
+
+        One segment alone, for those too long to be worth array steps.
+        """
         n = len(segment)
         count, last = [0] * (n + 1), [""] * (n + 1)
-        own, longest, fits = self.own, self.longest, self._fits
+        own, longest, merge = self.own, self.longest, self._merge
+        pairs: dict[tuple[str, str], bool] = {}
+
+        def fits(left: str, right: str) -> bool:
+            known = pairs.get((left, right))
+            if known is None:
+                if len(pairs) > PAIRS:
+                    pairs.clear()
+                known = pairs[left, right] = merge(left + right) == [left, right]
+            return known
+
         for i in range(1, n + 1):
             for j in range(max(0, i - longest), i):
                 token = segment[j:i]
@@ -102,7 +190,7 @@ class _Worker:
 
     def _fresh(self) -> None:
         self.cache = K.SpanCache(self.cache.limit)
-        self.offset, self.flat, self.used = np.zeros(1, np.int64), np.zeros(0, np.int32), 0
+        self.offset, self.flat = K.Grown(np.int64, [0]), K.Grown(np.int32)
 
     @classmethod
     def get(cls, path: str) -> _Worker:
@@ -117,34 +205,38 @@ class _Worker:
         if self.cache.full():
             self._fresh()
         row = self.cache.find(uniq)
-        short = ends - starts <= LONG_SEGMENT
-        flat, offset = self.flat, self.offset
-        keep = [], []
-        new, sizes, long_new, long_at = [], [], [], []
-        for u in np.flatnonzero(row < 0):
-            i = first[u]
-            counts = self.bpe.prefixes(raw[starts[i]:ends[i]].decode().replace(" ", MARK))
-            if short[i]:
-                new.append(counts)
-                sizes.append(len(counts))
-                keep[0].append(uniq[u])
-                row[u] = len(offset) - 1 + len(new) - 1
-            else:
-                long_new.append(counts)
-                long_at.append(u)
-        if new:
-            self.cache.add(np.array(keep[0], np.uint64), np.arange(len(offset) - 1, len(offset) - 1 + len(new)))
-            self.flat = flat = np.concatenate([flat, np.concatenate([np.array(c, np.int32) for c in new])])
-            self.offset = offset = np.concatenate([offset, offset[-1] + np.cumsum(sizes)])
-        if long_new:
-            rows = np.arange(len(offset) - 1, len(offset) - 1 + len(long_new))
-            row[long_at] = rows
-            flat = np.concatenate([flat, *[np.array(c, np.int32) for c in long_new]])
-            offset = np.concatenate([offset, offset[-1] + np.cumsum([len(c) for c in long_new])])
+        new = np.flatnonzero(row < 0)
+        at = first[new]
+        short = ends[at] - starts[at] <= LONG_SEGMENT
+        fresh, at = new[short], at[short]
+        if len(fresh):
+            chars, sizes = _code_points(raw, starts[at], ends[at])
+            row[fresh] = np.arange(len(fresh)) + self.offset.size - 1
+            self.cache.add(uniq[fresh], row[fresh])
+            self.offset.append(self.flat.size + np.cumsum(sizes))
+            self.flat.append(self.bpe.many(chars, sizes))
+        flat, offset = self.flat.view(), self.offset.view()
+        if not short.all():
+            alone = [np.array(self.bpe.prefixes(raw[starts[i]:ends[i]].decode().replace(" ", MARK)), np.int32)
+                     for i in first[new[~short]]]
+            row[new[~short]] = np.arange(len(alone)) + len(offset) - 1
+            offset = np.concatenate([offset, len(flat) + np.cumsum([len(c) for c in alone])])
+            flat = np.concatenate([flat, *alone])
         row = row[inverse]
         return flat, offset[row], offset[row + 1]
 
 
+def _code_points(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of byte spans, one span behind another with marks for spaces, and each span's number of them."""
+    size = ends - starts
+    upto = np.cumsum(size)
+    text = np.frombuffer(raw, np.uint8)[np.arange(upto[-1]) + np.repeat(starts - upto + size, size)]
+    chars = np.frombuffer(text.tobytes().decode().encode("utf-32-le"), "<u4").copy()
+    chars[chars == 0x20] = ord(MARK)
+    lead = np.r_[0, np.cumsum((text & 0xC0) != 0x80)]
+    return chars, lead[upto] - lead[upto - size]
+
+
 def _segments(texts: list[bytes | None]):
     """Texts with the leading space the library adds, and their segments as byte spans."""
     parts = [b" " + t.replace(MARK.encode(), b" ") if t else b"" for t in texts]

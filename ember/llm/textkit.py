@@ -144,27 +144,62 @@ def from_planes(raw: bytes, dtype) -> np.ndarray:
 class SpanCache:
     """Bounded per-worker memory: word hash -> row of a value table.
 
-    Keys are kept sorted in one array; when the bound is reached the cache
-    starts afresh, so memory never follows the vocabulary of the corpus.
+    Keys lie in sorted runs, each less than half as long as the one before:
+    a key is merged a logarithmic number of times, never at every ``add``.
+    When the bound is reached the owner starts a fresh cache, so memory never
+    follows the vocabulary of the corpus.
     """
 
     def __init__(self, limit: int = 1_000_000):
         self.limit = limit
-        self.keys = np.zeros(0, U64)
-        self.rows = np.zeros(0, np.int64)
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Row of every key, -1 where unknown."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == keys, self.rows[at], -1)
+        out = np.full(len(keys), -1, np.int64)
+        for known, rows in self.runs:
+            at = np.searchsorted(known, keys)
+            at[at == len(known)] = 0
+            np.copyto(out, rows[at], where=known[at] == keys)
+        return out
 
     def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        keys = np.concatenate([self.keys, keys])
+        """Remember keys that ``find`` does not know."""
+        if not len(keys):
+            return
+        self.runs.append((keys, rows))
+        first = len(self.runs) - 1
+        size = len(keys)
+        while first and len(self.runs[first - 1][0]) < 2 * size:
+            first -= 1
+            size += len(self.runs[first][0])
+        keys = np.concatenate([k for k, _ in self.runs[first:]])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.rows = keys[order], np.concatenate([self.rows, rows])[order]
+        self.runs[first:] = [(keys[order], np.concatenate([r for _, r in self.runs[first:]])[order])]
+
+    def __len__(self) -> int:
+        return sum(len(k) for k, _ in self.runs)
 
     def full(self) -> bool:
-        return len(self.keys) >= self.limit
+        return len(self) >= self.limit
+
+
+class Grown:
+    """An array that grows at its end; room doubles, so appending does not copy all of it each time."""
+
+    def __init__(self, dtype, start=()):
+        self.room = np.zeros(1024, dtype)
+        self.size = 0
+        self.append(np.asarray(start, dtype))
+
+    def append(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.room):
+            room = np.zeros(max(need, 2 * len(self.room)), self.room.dtype)
+            room[:self.size] = self.room[:self.size]
+            self.room = room
+        self.room[self.size:need] = values
+        self.size = need
+
+    def view(self) -> np.ndarray:
+        return self.room[:self.size]

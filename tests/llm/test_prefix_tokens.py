@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
 import public_tokenizers
 from ember.llm.catalog import QUERIES
+from ember.llm import textkit as K
 from ember.llm.prefix_tokens import MARK, PrefixBpe, count_tokens, prefix_table
 from tests.conftest import MEDIUM
 
@@ -72,3 +74,28 @@ def test_prefixes_of_one_segment():
     bpe = PrefixBpe(PATH)
     for s in ["▁the", "▁▁▁internationalization", "▁x日本鿿y"]:
         assert bpe.prefixes(s) == [len(SP.encode(s[1:i].replace(MARK, " "))) if i > 1 else 1 for i in range(1, len(s) + 1)]
+
+
+def test_many_segments_equal_each_alone():
+    bpe = PrefixBpe(PATH)
+    words = ["▁" + t.replace(" ", MARK) for t in fuzz(2000, 5)] + ["▁the", "x", "鿿", "🙂", "▁▁▁", "internationalization"]
+    chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+    assert bpe.many(chars, np.array([len(w) for w in words])).tolist() == [c for w in words for c in bpe.prefixes(w)]
+    assert bpe.many(chars[:0], np.zeros(0, np.int64)).tolist() == []
+
+
+def test_cache_finds_what_was_added_and_grows_by_merging_few_runs():
+    rnd = np.random.default_rng(4)
+    keys = rnd.permutation(np.unique(rnd.integers(0, 1 << 63, 30_000).astype(np.uint64)))
+    cache, grown = K.SpanCache(limit=len(keys)), K.Grown(np.int64, [7])
+    at = 0
+    while at < len(keys):
+        n = int(rnd.integers(0, 400))
+        part = keys[at:at + n]
+        assert (cache.find(part) == -1).all()
+        cache.add(part, np.arange(at, at + len(part)))
+        grown.append(np.arange(len(part)))
+        at += n
+    assert cache.full() and len(cache.runs) <= 16
+    assert cache.find(keys).tolist() == list(range(len(keys)))
+    assert grown.size == len(keys) + 1 and grown.view()[0] == 7
