@@ -11,7 +11,8 @@ between neighbouring probes, and the sums narrow the bracket.  A splitter is
 done when a probe is within ``tolerance`` of its target (probes on text
 boundaries come first because brackets shrink from the high bits down) or
 when its bracket holds one row.  Only keys and sizes are staged and counted;
-the documents move once, to their unit.
+the documents move once, to their unit.  A round's driver work is linear in
+the open splitters and their probes.
 
 Shards are divided into *units* of about ``unit_rows`` rows by the same
 splitters, so ranking rows inside a shard never needs a whole shard in one
@@ -24,6 +25,8 @@ input column named like a result column is replaced.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -83,15 +86,14 @@ def find_splitters(keys: DataFrame, parts: int, tolerance: float) -> tuple[list[
         open_ = [i for i in range(parts - 1) if i not in done]
         each = max(3, min(63, _MAX_PROBES // len(open_)))
         probes = set()
-        for bracket in {(low[i][0], high[i][0]) for i in open_}:
-            lo, hi = bracket
-            # Brackets shared by several splitters get their probes together.
-            share = each * sum((low[i][0], high[i][0]) == bracket for i in open_)
+        # Brackets shared by several splitters get their probes together.
+        for (lo, hi), sharing in Counter((low[i][0], high[i][0]) for i in open_).items():
+            share = each * sharing
             probes.update(lo + (hi - lo) * j // (share + 1) for j in range(1, share + 1))
         at = np.array(sorted(p for p in probes if 0 < p < _TOP), np.int64)
         rows, size = _histogram(keys, at) if len(at) else (np.zeros(0), np.zeros(0))
-        for i in open_:
-            right = int(np.searchsorted(size, target[i]))
+        nearest = np.searchsorted(size, [target[i] for i in open_]).tolist()
+        for i, right in zip(open_, nearest):
             for j in (right - 1, right):
                 if 0 <= j < len(at) and low[i][0] < at[j] < high[i][0]:
                     point = (int(at[j]), int(rows[j]), int(size[j]))

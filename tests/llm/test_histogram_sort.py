@@ -1,8 +1,11 @@
+import time
 import zlib
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from ember.llm import histogram_sort as H
 from ember.llm.catalog import QUERIES
 from ember.llm.histogram_sort import shard_by_bytes
 from tests.conftest import MEDIUM
@@ -59,3 +62,31 @@ def test_edges(spark):
     by_shard(out)
     assert shard_by_bytes(spark.createDataFrame([], "doc_id long, text string"), 3).collect() == []
     assert [r["slot"] for r in shard_by_bytes(df.limit(1), 24).collect()] == [0]
+
+
+def test_many_splitters_take_seconds_on_the_driver(monkeypatch):
+    """Counting is stood in for by arrays, so only the rounds' own work is timed."""
+    rnd = np.random.default_rng(9)
+    keys = np.sort(rnd.integers(1, H._TOP, 1_000_000))
+    keys[300_000:600_000] = keys[300_000]                     # a third of all rows share a key
+    below = np.r_[0, np.cumsum(rnd.integers(8, 4000, len(keys)))]
+
+    class Keys:
+        def agg(self, *_):
+            return self
+
+        def first(self):
+            return len(keys), int(below[-1])
+
+    def histogram(_, probes):
+        at = np.searchsorted(keys, probes, side="left")
+        return at, below[at]
+
+    monkeypatch.setattr(H, "_histogram", histogram)
+    began = time.process_time()
+    cuts, rows = H.find_splitters(Keys(), 50_000, 0.2)
+    assert time.process_time() - began < 60
+    assert len(cuts) == 49_999 and cuts == sorted(cuts) and rows == sorted(rows)
+    want = below[-1] * np.arange(1, 50_000) / 50_000
+    off = np.abs(below[np.array(rows)] - want)
+    assert (off[(np.array(rows) < 299_900) | (np.array(rows) > 600_100)] <= 4000 + 0.2 * below[-1] / 50_000).all()
