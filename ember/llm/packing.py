@@ -235,6 +235,8 @@ class Encoder:
 
 # ------------------------------------------------------------------ packing
 
+RANGE_BYTES = 128 << 20       # text of one range of the curve, about
+
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -275,8 +277,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, length: int = 2048,
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # The number of ranges follows the input; a small one keeps the session's parallelism.
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     # The tokenizer runs behind the exchange: sampling the range sees only the cheap key.
-    ordered = (rows.withColumn("key", _curve_key("text")).repartitionByRange("key", "doc_id")
+    ordered = (rows.withColumn("key", _curve_key("text")).repartitionByRange(ranges, "key", "doc_id")
                .sortWithinPartitions("key", "doc_id").select("doc_id", "text"))
     return ordered.mapInArrow(_pack(tokenizer_path, length, end_id, with_ids),
                               _PIECES + (", ids binary" if with_ids else ""))
