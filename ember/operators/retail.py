@@ -178,15 +178,33 @@ def product_scores(
     reviews x orders of its order.  A hot order therefore never becomes a
     product of rows in one task.
     """
+    weighted = weighted_items(
+        items, reviews, orders, item_order_key=item_order_key, item_product_key=item_product_key,
+        review_order_key=review_order_key, score=score, order_key=order_key)
+    return scores_of_items(weighted, product_name)
+
+
+def weighted_items(
+    items: DataFrame, reviews: DataFrame, orders: DataFrame, *,
+    item_order_key: str, item_product_key: str, review_order_key: str, score: str, order_key: str,
+) -> DataFrame:
+    """(_ok, _pk, _s, _r, _m): each reviewed item with its order's score sum, reviews and multiplicity.
+
+    Every row needs the rows of one order only.
+    """
     clean = keep_valid(reviews, score)
     per_order = clean.groupBy(F.col(review_order_key).alias("_ok")).agg(
         F.sum(to_int(score)).alias("_s"), F.count(F.lit(1)).alias("_r"))
     order_mult = orders.groupBy(F.col(order_key).alias("_ok")).agg(F.count(F.lit(1)).alias("_m"))
-    weighted = (
+    return (
         items.select(F.col(item_order_key).alias("_ok"), F.col(item_product_key).alias("_pk"))
         .join(per_order, "_ok")
         .join(order_mult, "_ok")
     )
+
+
+def scores_of_items(weighted: DataFrame, product_name: str = "product_id") -> DataFrame:
+    """Units sold and mean review score per product of ``weighted_items`` rows."""
     return (
         weighted.groupBy(F.col("_pk").alias(product_name))
         .agg(

@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ember.buckets import deal
 from ember.functions import age_group, b64decode, b64encode_text, epoch_millis, frame_filename, two_decimals
 from ember.operators import frames as FR
 from ember.operators import maintained as MT
@@ -219,6 +220,29 @@ def top_products(spark, d):
     return RT.top_n(product_sales_score(spark, d), [F.desc("total_sold"), F.asc("product_id")], TOP_N)
 
 
+def dealt_retail(spark, d):
+    """Items, reviews and orders dealt by the order, their join columns named alike."""
+    return deal({
+        "items": TD.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey"),
+        "reviews": TD.reviews(spark, d),
+        "orders": TD.table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), "o_custkey")}, "order_id")
+
+
+def product_sales_score_dealt(spark, d):
+    """C12 over dealt tables: only the sums per product are exchanged."""
+    return RT.scores_of_items(dealt_retail(spark, d).within_keys(lambda t: RT.weighted_items(
+        t["items"], t["reviews"], t["orders"], item_order_key="order_id", item_product_key="l_partkey",
+        review_order_key="order_id", score="review_score", order_key="order_id")))
+
+
+def product_order_join_dealt(spark, d):
+    """J7 with items and orders joined where they lie; the product join follows."""
+    lines = dealt_retail(spark, d).within_keys(lambda t: t["items"].join(t["orders"], "order_id"))
+    parts = TD.table(spark, d, "part").select("p_partkey", "p_type")
+    return parts.join(lines, F.col("p_partkey") == F.col("l_partkey")).select(
+        "p_partkey", "p_type", F.col("order_id").alias("l_orderkey"), "l_linenumber", "o_custkey")
+
+
 # ------------------------------------------------------------------ packets
 
 def _camera_frames(spark, d):
@@ -368,8 +392,9 @@ def chroma_key_alpha(spark, d):
 
 def _channel_sums(frames):
     """Key columns and the sum of every channel of BGRA frames."""
-    sums = [TD.channel_sum(F.col("data"), c).alias(f"sum_{n}") for c, n in enumerate("bgra")]
-    return frames.select("frame_id", "height", "width", "nChannels", "status", *sums)
+    values = frames.withColumn("values", TD.binary_to_ints(F.col("data")))         # once for all channels
+    sums = [TD.channel_sum(F.col("values"), c).alias(f"sum_{n}") for c, n in enumerate("bgra")]
+    return values.select("frame_id", "height", "width", "nChannels", "status", *sums)
 
 
 def chroma_key_frames(spark, d):
@@ -501,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "product_order_join": product_order_join,
     "revenue_by_category": revenue_by_category,
     "product_sales_score": product_sales_score,
+    "product_sales_score_dealt": product_sales_score_dealt,
+    "product_order_join_dealt": product_order_join_dealt,
     "top_products": top_products,
     "packet_encode": packet_encode,
     "packet_encode_full": packet_encode_full,

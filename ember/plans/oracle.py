@@ -196,7 +196,8 @@ ON vec_id = s.frame_id"""
 # The same questions answered through a message log, kept tables or files.
 for _kept, _plain in (("stream_ingest_log", "stream_ingest"), ("stream_throughput", "camera_throughput"), ("stream_histogram", "latency_histogram"),
                       ("frame_latest_state", "frame_resend"), ("movie_stats_maintained", "movie_stats"), ("genre_stats_maintained", "genre_stats"),
-                      ("occupation_stats_maintained", "occupation_stats"), ("entity_counts_maintained", "entity_counts")):
+                      ("occupation_stats_maintained", "occupation_stats"), ("entity_counts_maintained", "entity_counts"),
+                      ("product_sales_score_dealt", "product_sales_score"), ("product_order_join_dealt", "product_order_join")):
     STATEMENTS[_kept] = STATEMENTS[_plain]
 STATEMENTS["stream_log_latest"] = STATEMENTS["stream_ingest"] + " WHERE event_id % 5 > 2"
 STATEMENTS["stream_log_batches"] = """SELECT b AS batch_id, least(cap, n - b * cap) AS processed

@@ -148,7 +148,7 @@ def frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage(frame_messages(spark, sf_dir), f"{root}/staged")
     _run_frames(spark, root)
     return spark.read.parquet(f"{root}/out").select(
-        "camera_id", "frame_number", "filename", "status", TD.channel_sum(F.col("data"), 3).alias("alpha_sum"))
+        "camera_id", "frame_number", "filename", "status", TD.channel_sum(TD.binary_to_ints(F.col("data")), 3).alias("alpha_sum"))
 
 
 # Faults of ``frame_stream_faults`` by the frame number's rest modulo 7 (fixed values of the oracle).

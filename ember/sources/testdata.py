@@ -193,7 +193,7 @@ def binary_to_ints(data) -> "F.Column":
         lambda i: F.conv(F.hex(F.substring(data, i + 1, 1)), 16, 10).cast("int"))
 
 
-def channel_sum(data, channel: int, channels: int = 4) -> "F.Column":
-    """Sum of one channel's bytes of an interleaved frame."""
-    mine = F.filter(binary_to_ints(data), lambda _, i: i % channels == channel)
+def channel_sum(values, channel: int, channels: int = 4) -> "F.Column":
+    """Sum of one channel's values of an interleaved frame (``binary_to_ints`` of its bytes)."""
+    mine = F.filter(values, lambda _, i: i % channels == channel)
     return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x)
