@@ -2,27 +2,29 @@
 
 Fit.  The tree is fitted on a sample of about ``sample_rows`` vectors (a
 documented bound): a node's vectors are split into ``BRANCH`` clusters until
-``LEAF`` are left.  Tree and calibration are therefore bounded whatever the
-table, and are the only things sent to all tasks.
+``LEAF`` are left.  It is therefore bounded whatever the table.
 
-Calibrate.  Half of the sample is kept from the fit.  For some of its vectors
-the true neighbours inside that half (copies counted once) are known; the
-number of leaf visits is widened until the traversal finds ``recall`` of them.
-
-Index.  Every vector goes down the tree to a leaf.  Leaves are laid out in
-tree order in groups of about ``block_rows`` vectors, and a group with more is
-cut into blocks by the id's hash, so a hot leaf is many blocks.
+Index.  Every vector goes down the tree to a leaf.  Each leaf's count, mean
+and spread are then taken over all vectors indexed in it and added up to the
+root.  Leaves are laid out in tree order in groups of about ``block_rows``
+vectors, and a group with more is cut into blocks by the id's hash, so a hot
+leaf is many blocks.
 
 Search.  A query walks the tree best bin first: a priority queue holds the
-children met so far by their centroid's inner product, the best is opened
-next, and leaves are collected until both the calibrated number of visits and
-at least ``k + 1`` indexed vectors are reached.  Queries meet the blocks of
-the groups they visit; in a block, only vectors of visited leaves are scored,
-exactly and in double precision.
-
-Defined cases: vectors that are null, zero, of another length than most of
-the sample, or hold null or non-finite components, and rows with null ids,
-take no part; rows sharing a query's id are its own; repeated query rows are
+nodes met so far by what a good row of theirs may score (the query's product
+with the node's mean plus ``REACH`` times the spread in one direction), the
+best is opened next after the query's own leaf, and leaves are collected until both the calibrated number
+of visits and at least ``k + 1`` indexed vectors are reached.  Queries meet
+the blocks of the groups they visit; in a block, only vectors of visited
+leaves are scored, exactly and in double precision.
+
+Calibrate.  ``CALIBRATION`` sampled vectors, kept from the fit, are asked of
+the whole index by brute force (one pass that returns k rows for each); the
+number of leaf visits is widened until the walk finds ``recall`` of those.
+
+Defined cases: vectors that are null, zero, or hold null or non-finite
+components, and rows with null ids, take no part; shorter vectors count as
+padded with 0; other columns are ignored; rows sharing a query's id are its own; repeated query rows are
 answered once for each different vector; an empty table gives no rows.
 """
 
@@ -32,15 +34,17 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ember.llm import vectors as V
 from ember.session import ship_package
 
 BRANCH = 8
-LEAF = 64
+LEAF = 8
 ROUNDS = 8
+REACH = 3.0
+CALIBRATION = 256
 
 
 class Tree:
@@ -82,16 +86,40 @@ class Tree:
             todo += [(child, rows[near == i]) for i, child in enumerate(self.children[node])]
         return out
 
-    def walk(self, q: np.ndarray):
-        """Leaves in best-bin-first order."""
+    def describe(self, count: np.ndarray, total: np.ndarray, square: np.ndarray) -> None:
+        """Take every leaf's count, vector sum and sum of squared norms; inner nodes get those of their leaves."""
+        dims = total.shape[1]
+        n, sums, squares = np.zeros(len(self.children)), np.zeros((len(self.children), dims)), np.zeros(len(self.children))
+        for node in range(len(self.children) - 1, -1, -1):              # children follow their parent
+            at = self.leaf[node]
+            if at >= 0:
+                n[node], sums[node], squares[node] = count[at], total[at], square[at]
+            else:
+                below = self.children[node]
+                n[node], sums[node], squares[node] = n[below].sum(), sums[below].sum(axis=0), squares[below].sum()
+        some = np.maximum(n, 1)
+        self.means = sums / some[:, None]
+        self.spread = np.sqrt(np.maximum(squares / some - (self.means ** 2).sum(axis=1), 0) / dims)
+        self.filled = n > 0
+
+    def promise(self, q: np.ndarray) -> np.ndarray:
+        """One row a query, one column a node: what a good row of the node may score; empty nodes promise nothing."""
+        size = np.sqrt((q * q).sum(axis=1))
+        return np.where(self.filled, q @ self.means.T + REACH * size[:, None] * self.spread, -np.inf)
+
+    def walk(self, promise: np.ndarray, home: int):
+        """The query's own leaf ``home``, where its copies lie, then the others in best-bin-first order of its ``promise``."""
+        yield home
+        key = (-promise).tolist()
         heap = [(0.0, 0)]
         while heap:
             _, node = heapq.heappop(heap)
             if self.leaf[node] >= 0:
-                yield self.leaf[node]
+                if self.leaf[node] != home:
+                    yield self.leaf[node]
                 continue
-            for score, child in zip((self.centers[node] @ q).tolist(), self.children[node]):
-                heapq.heappush(heap, (-score, child))
+            for child in self.children[node]:
+                heapq.heappush(heap, (key[child], child))
 
 
 def _split(points: np.ndarray, rng) -> list[np.ndarray]:
@@ -103,23 +131,17 @@ def _split(points: np.ndarray, rng) -> list[np.ndarray]:
     return [points[at == i] for i in range(len(centers)) if (at == i).any()]
 
 
-def calibrate(tree: Tree, points: np.ndarray, k: int, recall: float, n_queries: int = 256) -> int:
-    """Fewest leaf visits with which the sample's own neighbours are found at ``recall``."""
-    if not len(points):
-        return 1
-    leaf = tree.assign(points)
-    asked = np.linspace(0, len(points) - 1, min(n_queries, len(points))).astype(int)
+def calibrate(tree: Tree, asked: np.ndarray, who: np.ndarray, leaf: np.ndarray, recall: float) -> int:
+    """Fewest leaf visits that meet ``recall`` of the rows (query ``who``, in ``leaf``) nearest to the queries ``asked``; 1 asks for all."""
+    if recall >= 1:
+        return tree.leaves
+    promise, home = tree.promise(asked), tree.assign(asked)
     hits = np.zeros(tree.leaves + 1)
-    total = 0
-    for i in asked:
-        score = points @ points[i]
-        score[i] = -np.inf
-        best = np.argsort(-score, kind="stable")[:min(k, len(points) - 1)]
+    for i in np.unique(who):
         place = np.empty(tree.leaves, np.int64)
-        place[list(tree.walk(points[i]))] = np.arange(tree.leaves)
-        np.add.at(hits, place[leaf[best]] + 1, 1)
-        total += len(best)
-    return int(np.searchsorted(np.cumsum(hits) / max(total, 1), recall)) or 1
+        place[list(tree.walk(promise[i], home[i]))] = np.arange(tree.leaves)
+        np.add.at(hits, place[leaf[who == i]] + 1, 1)
+    return max(1, int(np.searchsorted(np.cumsum(hits), recall * len(who))))
 
 
 def _vectors(column) -> np.ndarray:
@@ -139,6 +161,56 @@ def _assigned(shared):
     return run
 
 
+def _leaf_parts(leaves: int, dims: int):
+    """Count, vector sum and sum of squared norms of a task's rows in every leaf."""
+
+    def run(batches):
+        n, total, square = np.zeros(leaves, np.int64), np.zeros((leaves, dims)), np.zeros(leaves)
+        for batch in batches:
+            if batch.num_rows:
+                x, leaf = _vectors(batch.column("vec")), batch.column("leaf").to_numpy()
+                order = np.argsort(leaf, kind="stable")
+                which, first = np.unique(leaf[order], return_index=True)
+                n[which] += np.diff(np.r_[first, len(leaf)])
+                total[which] += np.add.reduceat(x[order], first, axis=0)
+                square[which] += np.add.reduceat((x * x).sum(axis=1)[order], first)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some), pa.array(n[some]), pa.array(list(total[some]), pa.list_(pa.float64())), pa.array(square[some])],
+            names=["leaf", "n", "total", "square"])
+
+    return run
+
+
+def _leaf_sum(table: pa.Table) -> pa.Table:
+    return pa.table({"leaf": table.column("leaf").slice(0, 1), "n": pa.array([table.column("n").to_numpy().sum()], pa.int64()),
+                     "total": pa.array([_vectors(table.column("total")).sum(axis=0)], pa.list_(pa.float64())),
+                     "square": pa.array([table.column("square").to_numpy().sum()], pa.float64())})
+
+
+def _true_nearest(ids: np.ndarray, asked: np.ndarray, k: int):
+    """The k rows of a task with the largest products for each of the calibrating queries."""
+
+    def run(batches):
+        score, rows, leaves = (np.zeros((len(ids), 0), t) for t in (float, np.int64, np.int64))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column("vec_id").to_numpy()
+            new = np.where(own == ids[:, None], -np.inf, asked @ _vectors(batch.column("vec")).T)
+            score = np.hstack([score, new])
+            rows = np.hstack([rows, np.broadcast_to(own, new.shape)])
+            leaves = np.hstack([leaves, np.broadcast_to(batch.column("leaf").to_numpy(), new.shape)])
+            if score.shape[1] > k:
+                best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                score, rows, leaves = (np.take_along_axis(x, best, axis=1) for x in (score, rows, leaves))
+        who, at = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(rows[who, at]), pa.array(leaves[who, at]), pa.array(score[who, at])],
+                                         names=["who", "vec_id", "leaf", "score"])
+
+    return run
+
+
 def _packed(table: pa.Table) -> pa.Table:
     table = table.sort_by([("leaf", "ascending"), ("vec_id", "ascending")])
     return pa.table({"block": table.column("block").slice(0, 1), "group": table.column("group").slice(0, 1),
@@ -156,9 +228,10 @@ def _visits(shared, k: int):
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 rows, groups, leaves = [], [], []
-                for i, q in enumerate(_vectors(part.column("vec")) if part.num_rows else []):
+                x = _vectors(part.column("vec"))
+                for i, (promise, home) in enumerate(zip(tree.promise(x), tree.assign(x).tolist())):
                     seen, rows_seen = [], 0
-                    for leaf in tree.walk(q):
+                    for leaf in tree.walk(promise, home):
                         if len(seen) >= visits and rows_seen > k:
                             break
                         seen.append(leaf)
@@ -238,7 +311,7 @@ def padded(rows: DataFrame, dims: int) -> DataFrame:
         "vec", F.array_repeat(F.lit(0.0), F.lit(dims) - F.size("vec")))).otherwise(F.col("vec")))
 
 
-def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.96, sample_rows: int = 1 << 14,
+def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.965, sample_rows: int = 1 << 14,
             block_rows: int = 1 << 13, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest vectors found for every query row (id divisible by 20)."""
     spark = vectors.sparkSession
@@ -252,17 +325,29 @@ def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.96, sample_row
     sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(1 << 20)) < share)
     dims = rows.agg(F.max(F.size("vec"))).first()[0]
     sample, rows = padded(sample, dims), padded(rows, dims)
-    picked = sample.orderBy("vec_id").select("vec").toArrow()     # about sample_rows
+    picked = sample.orderBy("vec_id").select("vec_id", "vec").toArrow()     # about sample_rows
     points = _vectors(picked.column("vec")) if picked.num_rows else np.zeros((0, dims))
-    # Half of the sample shapes the tree, the other half, unseen by it, calibrates the visits.
-    tree = Tree(points[::2])
-    visits = calibrate(tree, np.unique(points[1::2], axis=0), k, recall)
+    # Different vectors spread over the sample calibrate; the others shape the tree.
+    _, one = np.unique(points, axis=0, return_index=True)
+    asked = np.sort(one)[np.linspace(0, len(one) - 1, min(CALIBRATION, len(one) // 2)).astype(int)] if len(one) else one
+    tree = Tree(np.delete(points, asked, axis=0) if len(points) else points)
 
     index = V.kept(rows.mapInArrow(_assigned(spark.sparkContext.broadcast((tree,))), "vec_id long, vec array<double>, leaf long"),
                    "tree-index")
-    sizes = np.zeros(tree.leaves, np.int64)
-    for leaf, n in index.groupBy("leaf").count().collect():                  # one row a leaf of the bounded tree
-        sizes[leaf] = n
+    parts = index.mapInArrow(_leaf_parts(tree.leaves, dims), "leaf long, n long, total array<double>, square double")
+    known = parts.groupBy("leaf").applyInArrow(_leaf_sum, parts.schema).toArrow()     # one row a leaf of the bounded tree
+    sizes, total, square = np.zeros(tree.leaves, np.int64), np.zeros((tree.leaves, dims)), np.zeros(tree.leaves)
+    at = known.column("leaf").to_numpy()
+    sizes[at], total[at], square[at] = known.column("n").to_numpy(), _vectors(known.column("total")), known.column("square").to_numpy()
+    tree.describe(sizes, total, square)
+    visits = 1
+    if len(asked):
+        q = points[asked]
+        best = Window.partitionBy("who").orderBy(F.desc("score"), "vec_id")
+        true = index.mapInArrow(_true_nearest(picked.column("vec_id").to_numpy()[asked], q, k),
+                                "who long, vec_id long, leaf long, score double") \
+            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("who", "leaf").toArrow()
+        visits = calibrate(tree, q, true.column("who").to_numpy(), true.column("leaf").to_numpy(), recall)
     group_of = (np.cumsum(sizes) - sizes) // block_rows
     group_rows = np.bincount(group_of, weights=sizes)
     blocks = np.maximum(1, -(-group_rows // block_rows)).astype(int)

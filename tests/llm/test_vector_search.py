@@ -5,7 +5,7 @@ import pytest
 
 from ember.llm.bitsliced import top_k_products
 from ember.llm.catalog import QUERIES
-from ember.llm.kmeans_tree import fixed_order_products, nearest
+from ember.llm.kmeans_tree import Tree, calibrate, fixed_order_products, nearest
 from tests.conftest import MEDIUM
 
 SCHEMA = "vec_id long, embedding array<double>"
@@ -115,6 +115,28 @@ def test_neighbours_with_a_small_sample_and_a_hot_leaf(spark):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+def test_the_walk_is_selective_and_calibration_holds():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(10, 24))[rng.integers(10, size=6000)] * 0.6 + rng.normal(size=(6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = Tree(x[500:3000])
+    leaf = tree.assign(x)
+    count, total = np.bincount(leaf, minlength=tree.leaves), np.zeros((tree.leaves, 24))
+    np.add.at(total, leaf, x)
+    tree.describe(count, total, np.bincount(leaf, weights=(x * x).sum(axis=1), minlength=tree.leaves))
+    assert np.allclose(tree.means[0], x.mean(axis=0))
+    score = x[:500] @ x.T
+    score[np.arange(500), np.arange(500)] = -np.inf
+    near = leaf[np.argsort(-score, axis=1)[:, :20]]
+    promise, home = tree.promise(x[:500]), tree.assign(x[:500])
+    visits = calibrate(tree, x[:250], np.repeat(np.arange(250), 20), near[:250].ravel(), 0.95)
+    walked = [list(tree.walk(promise[i], home[i])) for i in range(500)]
+    assert all(sorted(w) == list(range(tree.leaves)) for w in walked[:5])
+    assert np.mean([np.isin(near[i], walked[i][:visits]).mean() for i in range(250, 500)]) >= 0.93
+    assert np.mean([count[walked[i][:visits]].sum() for i in range(500)]) < 0.5 * len(x)
+    assert calibrate(tree, x[:5], np.arange(5), near[:5, 0], 1.0) == tree.leaves
+
+
 def test_neighbours_edges(spark):
     rows = EDGES + [(120, [0.1, 0.2, 0.3])]
     got = grouped(nearest(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS leaf", "'g' AS group")).collect())
