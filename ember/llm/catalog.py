@@ -46,7 +46,7 @@ def op2_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    model = fit(docs, docs_per_lang=2000, keep_words=40_000, keep_grams=8_000)
+    model = fit(docs, docs_per_lang=2000)
     return identify(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 

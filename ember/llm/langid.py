@@ -9,11 +9,10 @@ the largest sum over its words; the score is that language's share when the
 mean word score counts for ``min(words, EVIDENCE)`` words.
 
 Fit.  Learning uses labelled rows only, at most about ``docs_per_lang`` a
-language, chosen by a hash of the id (a documented bound); their features
-are counted by Spark, and each (language, length) keeps its ``keep_words`` or
-``keep_grams`` most frequent entries.  So the model sent to the tasks is
-bounded by languages x (keep_words + MAX_GRAM x keep_grams) entries whatever
-the corpus.  Prediction reads every whole text.
+language, chosen by a hash of the id (a documented bound).  Their features are
+counted by Spark and all of them are kept, so the model sent to the tasks
+holds the distinct words and n-grams of languages x ``docs_per_lang`` texts,
+whatever the corpus.  Prediction reads every whole text.
 
 Defined cases: null text or text without a letter gives ``und`` and score 0,
 as does a table without labelled rows; ties go to the language first in
@@ -27,7 +26,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -39,6 +38,8 @@ MAX_GRAM = 5
 EVIDENCE = 12
 START, STOP = 2, 3                        # pads: no letter has these code points
 
+FEATURES = pa.schema([("lang", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+
 _letters: list[np.ndarray] = []
 
 
@@ -89,16 +90,15 @@ class LetterWords:
 class Model:
     """Log-frequency tables, shared by all tasks; ``tables[0]`` is words, ``tables[n]`` n-grams."""
 
-    def __init__(self, langs: list[str], rows: list[tuple[int, int, int, int]]):
+    def __init__(self, langs: list[str], features: pa.Table):
         self.langs = langs
         self.tables = []
+        lang, kinds, key, n = (features.column(c).to_numpy() for c in ("lang", "kind", "key", "n"))
         for kind in range(MAX_GRAM + 1):
-            mine = [(k, lang, n) for lang, kd, k, n in rows if kd == kind]
-            keys = np.unique(np.array([k for k, _, _ in mine], np.int64).view(np.uint64))
+            mine = kinds == kind
+            keys, at = np.unique(key[mine].view(np.uint64), return_inverse=True)
             counts = np.zeros((len(keys), len(langs)))
-            if mine:
-                at = np.searchsorted(keys, np.array([k for k, _, _ in mine], np.int64).view(np.uint64))
-                np.add.at(counts, (at, [x for _, x, _ in mine]), [n for _, _, n in mine])
+            counts[at, lang[mine]] = n[mine]
             total = counts.sum(axis=0)
             self.tables.append((keys, np.log(counts + 0.5) - np.log(total + 0.5 * len(keys) + 1)))
 
@@ -170,14 +170,14 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def fit(docs: DataFrame, *, docs_per_lang: int = 2000, keep_words: int = 40_000, keep_grams: int = 8_000) -> Model:
+def fit(docs: DataFrame, *, docs_per_lang: int = 2000) -> Model:
     """Learn from rows of ``docs(doc_id, text, lang)`` with a label that are not held out."""
     ship_package(docs.sparkSession)
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}     # one row a language
     langs = sorted(counts)
     if not langs:
-        return Model([], [])
+        return Model([], FEATURES.empty_table())
     # A row is in the sample when its id's hash falls in its language's share of the range.
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1 << 20, (docs_per_lang << 20) // counts[lang] + 1))])
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
@@ -185,10 +185,7 @@ def fit(docs: DataFrame, *, docs_per_lang: int = 2000, keep_words: int = 40_000,
         .select(F.element_at(number, F.col("lang")).cast("int").alias("lang"), "text")
     features = sample.mapInArrow(_features, "lang int, kind int, key long, n long").groupBy("lang", "kind", "key").agg(
         F.sum("n").alias("n"))
-    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    keep = F.when(F.col("kind") == 0, keep_words).otherwise(keep_grams)
-    kept = features.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= keep)
-    return Model(langs, [tuple(r) for r in kept.select("lang", "kind", "key", "n").collect()])
+    return Model(langs, features.toArrow())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

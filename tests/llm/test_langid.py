@@ -60,7 +60,7 @@ def test_matches_the_plain_model(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text", "lang")
             .filter("n_chars < 1500").collect()]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r[0]: r for r in identify(df, fit(df, docs_per_lang=10**6, keep_words=10**6, keep_grams=10**6)).collect()}
+    got = {r[0]: r for r in identify(df, fit(df, docs_per_lang=10**6)).collect()}
     want = brute(rows)
     assert set(got) == set(want)
     for i, (held, lang, score) in want.items():
