@@ -15,7 +15,10 @@ No row's score is formed on its own except for the k selected.
 
 Queries meet blocks in a grid of (row block, query block) cells: the packed
 index and query blocks are joined on the cell, so work spreads over cells and
-memory is one block and one query at a time.  Each cell returns at most k rows
+memory is one block and one query at a time.  A query block holds up to
+``query_bytes``: the index is copied once for each block of queries, not more
+often than memory asks for, and only a small table's queries are dealt finer,
+to give every core a cell.  Each cell returns at most k rows
 a query, and a window ranks them.
 
 Defined cases: vectors that are null or hold null or non-finite components,
@@ -191,18 +194,20 @@ def bit_sliced_index(rows: DataFrame, block_rows: int) -> DataFrame:
         _slice_block, "block long, n long, ids binary, low binary, widths binary, slices binary")
 
 
-def top_k_products(vectors: DataFrame, *, k: int = 20, block_rows: int = 1 << 16, query_rows: int = 256) -> DataFrame:
+def top_k_products(vectors: DataFrame, *, k: int = 20, block_rows: int = 1 << 16, query_bytes: int = 1 << 23) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products of every query row (id divisible by 20)."""
     ship_package(vectors.sparkSession)
     rows = quantised(vectors)
     index = V.kept(bit_sliced_index(rows, block_rows), "bit-sliced-index")
     queries = rows.filter(V.is_query()).dropDuplicates(["vec_id", "q"])
-    q_blocks = max(1, -(-queries.count() // query_rows))
+    blocks, dims = index.agg(F.max("block"), F.max(F.octet_length("low"))).first()
+    blocks, n = (blocks or 0) + 1, queries.count()
+    cells = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    q_blocks = max(1, -(-n * (dims or 0) // query_bytes), min(-(-cells // blocks), n))
     packed = V.kept(queries.withColumn("q_block", F.pmod(F.xxhash64("vec_id", "q", F.lit(1)), F.lit(q_blocks)))
                     .groupBy("q_block").applyInArrow(_pack_queries, "q_block long, dims long, q_ids binary, weights binary"),
                     "query-blocks")
     # Every packed block meets every query block: the stated queries against all rows, in blocks.
-    blocks = max(1, index.agg(F.max("block")).first()[0] or 0) + 1
     left = index.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
     right = packed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     cells = left.hint("shuffle_hash").join(right, ["block", "q_block"])

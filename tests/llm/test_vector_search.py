@@ -54,7 +54,7 @@ def test_top_k_over_many_blocks_with_ties(spark):
     rows = [(int(i), [float(x) for x in rng.integers(-3, 4, 5) / 64]) for i in range(700)]
     rows += [(1000 + i, rows[0][1]) for i in range(90)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert grouped(top_k_products(df, block_rows=100, query_rows=7).collect()) == brute(rows, 20, True)
+    assert grouped(top_k_products(df, block_rows=100, query_bytes=200).collect()) == brute(rows, 20, True)
 
 
 EDGES = [(0, [0.5, 0.25]), (20, None), (40, [1.0, None]), (60, [float("nan"), 1.0]), (80, [float("inf"), 0.0]), (1, [0.0, 0.0]),
