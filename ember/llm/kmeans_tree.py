@@ -360,9 +360,9 @@ def nearest(vectors: DataFrame, *, k: int = 20, recall: float = 0.965, sample_ro
         "block", F.xxhash64("group", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("cuts"))))
     packed = placed.groupBy("block").applyInArrow(_packed, "block long, group long, ids binary, leaves binary, matrix binary")
     queries = rows.filter(V.is_query()).dropDuplicates(["vec_id", "vec"]).withColumn("row", F.xxhash64("vec"))
-    asked = queries.mapInArrow(_visits(shared, k),
-                               "query_id long, query_row long, group long, visited binary, vec array<double>")
     parts = max(1, -(-int(queries.count()) // query_rows))
+    asked = queries.repartition(parts, "vec_id", "vec").mapInArrow(
+        _visits(shared, k), "query_id long, query_row long, group long, visited binary, vec array<double>")
     asked = asked.withColumn("q_part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).groupBy("group", "q_part").applyInArrow(
         _pack_visits, "group long, q_ids binary, q_rows binary, q_matrix binary, visited binary, n_visited binary")
     found = packed.join(asked, "group").mapInArrow(_score(k, dims), "query_id long, query_row long, vec_id long, score double")
