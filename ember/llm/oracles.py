@@ -41,6 +41,32 @@ WITH q AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op5_setsketch": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id
+), both_sets AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM both_sets JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * shared >= 85 * (a.n_shingles + b.n_shingles - shared)
+), reach AS (
+  SELECT x AS doc_id, y AS other FROM link
+  UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.other = link.x
+), least_id AS (
+  SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n.n_shingles, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(least_id.other, d.doc_id)) AS component_id,
+       least(d.doc_id, coalesce(least_id.other, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_id ON least_id.doc_id = d.doc_id
 """,
     "op8_chat_format": r"""
 WITH t AS (
