@@ -204,6 +204,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             score.append(odds)
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(np.concatenate(score))], ["lang", "score"])
 
-    found = docs.withColumn("_found", predicted(F.col("text").cast("string")))
+    # Declared non-deterministic, or Spark copies it into every filter and column that reads a field of its result:
+    # each copy predicts every text again, in a Python worker of its own.
+    found = docs.withColumn("_found", predicted.asNondeterministic()(F.col("text").cast("string")))
     return found.withColumns({"held_out": held_out(), "lang_pred": F.col("_found.lang"),
                               "score": F.col("_found.score")}).drop("_found")

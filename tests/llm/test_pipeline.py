@@ -154,3 +154,11 @@ def test_mix_meets_its_targets_where_ids_are_shared(spark):
         assert abs(got[s] - aim[s]) <= max(len(brute.words(t)) for _, t, x in rows if x == s) / 2 + 1
     many = Counter(r["text"] for r in out)
     assert all(n <= 2 * Counter(t for _, t, _ in rows)[t] for t, n in many.items())
+
+
+def test_language_predicts_every_text_once(spark):
+    docs = spark.createDataFrame([(i, "some words here", "en" if i % 2 else None, "a", 15) for i in range(20)], SCHEMA)
+    out = P.language(spark, docs, None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("ArrowEvalPython", plan)) == 1
+    assert {r["lang"] for r in out.collect()} == {"en"} and out.count() == 20
