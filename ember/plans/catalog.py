@@ -24,7 +24,7 @@ from ember.operators import quality as Q
 from ember.operators import ratings as R
 from ember.operators import report as RP
 from ember.operators import retail as RT
-from ember.session import shared_dir
+from ember.session import session_for, shared_dir
 from ember.sources import testdata as TD
 from ember.sources.frame_files import read_output_files, write_frame_files
 from ember.plans import streams as ST
@@ -43,7 +43,8 @@ LATENCY_BOUNDS = (1, 10, 50, 100)
 
 
 def _ratings(spark: SparkSession, d: str) -> DataFrame:
-    r1, r2 = TD.rating_files(spark, d)
+    # The count comes from the footers of the files; joins with other tables run in the ratings' session.
+    r1, r2 = TD.rating_files(session_for(spark, TD.table(spark, d, "lineitem").count()), d)
     return R.union_all(r1, r2)
 
 

@@ -58,6 +58,31 @@ def cluster_conf(input_bytes: int, *, cores: int | None = None, target_partition
     }
 
 
+ROWS_PER_TASK = 1 << 19        # rows that one task sorts for a join and pre-aggregates, about 150 MB
+
+
+def session_for(spark: SparkSession, rows: int) -> SparkSession:
+    """``spark``, or a session with its settings and more shuffle partitions if ``rows`` need them.
+
+    Spark merges shuffle partitions into as few as there are cores, so a
+    task's sorts and hash tables would grow with the input.  Beyond
+    ``ROWS_PER_TASK`` rows for each of those, the work gets a session of its
+    own with a partition for as many rows and without that merging; skewed
+    joins are split as before.  ``rows`` sets the number of tasks only.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if tasks <= min(planned, spark.sparkContext.defaultParallelism):
+        return spark
+    sized = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if sized.conf.isModifiable(key):
+            sized.conf.set(key, value)
+    sized.conf.set("spark.sql.shuffle.partitions", str(max(tasks, planned)))
+    sized.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return sized
+
+
 # Maven coordinate of Spark's Kafka connector for this Spark line (Scala 2.13).
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.0"
 
